@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Output column -> (source column, type). Extra source columns are dropped here.
 _PROJECTIONS: dict[str, dict[str, tuple[str, str]]] = {
@@ -68,8 +67,8 @@ def require_columns(frames: Mapping[str, DataFrame], required: Mapping[str, Iter
 
 
 def _typed(table: str, frame: DataFrame) -> DataFrame:
-    return frame.select(
-        *[F.col(source).cast(kind).alias(name) for name, (source, kind) in _PROJECTIONS[table].items()]
+    return frame.selectExpr(
+        *[f"CAST({source} AS {kind}) AS {name}" for name, (source, kind) in _PROJECTIONS[table].items()]
     )
 
 

@@ -7,9 +7,7 @@ that the audits have something to find.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotflow.functions import columns as X
@@ -46,14 +44,6 @@ _LINE_COLUMNS = [
 _wide_order_files: dict[tuple[str, str], str | None] = {}
 
 
-def _moment(text: str) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
-
-
-def _absent(kind: str) -> Column:
-    return F.lit(None).cast(kind)
-
-
 # --- order lines --------------------------------------------------------------------------
 
 
@@ -115,105 +105,134 @@ def _wide_orders(spark: SparkSession, root: str, lineitem: DataFrame) -> DataFra
 # --- the views ------------------------------------------------------------------------------
 
 
+def _choice(values: dict[str, object], column: str) -> str:
+    """A CASE over a fixed mapping, NULL for any other value."""
+    arms = " ".join(f"WHEN {name!r} THEN {value!r}" for name, value in values.items())
+    return f"CASE {column} {arms} END"
+
+
+_CATEGORY_ID = _choice({name: number for name, (number, _) in CATEGORY_OF_TYPE.items()}, "p_type")
+_CATEGORY_NAME = _choice({name: label for name, (_, label) in CATEGORY_OF_TYPE.items()}, "p_type")
+_RATING = "CAST((200 + ({key} * 37) % 301) / CAST(100 AS DECIMAL(3,0)) AS DECIMAL(3,2))"
+_LEAD_DAYS = "CAST(3 + {key} % 18 AS INT)"
+_PRICE = "CAST(p_retailprice AS DECIMAL(12,2))"
+_COST = f"CAST(round({_PRICE} * 0.80, 2) AS DECIMAL(12,2))"
+_PO_ID = "l_suppkey * 1000 + (year(l_shipdate) - 1995) * 12 + month(l_shipdate)"
+_PO_STATUS = (
+    "CASE WHEN {key} % 10 = 0 THEN 'CANCELLED' WHEN {key} % 10 IN (1, 2) THEN 'PARTIALLY_RECEIVED'"
+    " ELSE 'RECEIVED' END"
+)
+
+
+def _after(start: str, days: str, hours: str = "0") -> str:
+    return f"{start} + make_dt_interval(CAST({days} AS INT), CAST({hours} AS INT))"
+
+
 class _Views:
-    """Builders of the views over one folder of Parquet tables."""
+    """Builders of the views over one folder of Parquet tables; each is built once."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
+        self._built: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
         return self._tables[name]
 
+    def view(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = getattr(self, name)()
+        return self._built[name]
+
     # dimensions
 
     def categories(self) -> DataFrame:
         """At most one row per entry of the fixed mapping, hence safe to broadcast."""
         known = self.table("part").filter(F.col("p_type").isin(*CATEGORY_OF_TYPE)).select("p_type").distinct()
-        number = _category_id(F.col("p_type"))
         return F.broadcast(
-            known.select(
-                number.alias("category_id"),
-                _category_name(F.col("p_type")).alias("category_name"),
-                F.concat(F.lit("Dept"), (number % 3).cast("string")).alias("department"),
+            known.selectExpr(
+                f"CAST({_CATEGORY_ID} AS BIGINT) AS category_id",
+                f"{_CATEGORY_NAME} AS category_name",
+                f"concat('Dept', ({_CATEGORY_ID}) % 3) AS department",
             )
         )
 
-    def _places(self) -> DataFrame:
-        nation, region = self.table("nation"), self.table("region")
-        return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-            F.col("n_nationkey").cast("bigint").alias("place_id"), "n_name", "r_name"
+    def places(self) -> DataFrame:
+        regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table("nation").join(regions, "n_regionkey").selectExpr(
+            "CAST(n_nationkey AS BIGINT) AS place_id", "n_name AS place_name", "r_name AS place_state"
         )
 
     def warehouses(self) -> DataFrame:
-        key = F.col("place_id")
-        return self._places().select(
-            key.alias("warehouse_id"),
-            F.col("n_name").alias("warehouse_name"),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            F.lit("Earth").alias("country"),
-            _absent("string").alias("warehouse_type"),
-            (100_000 + 1000 * key).alias("capacity_units"),
-            (40_000 + 100 * key).cast("decimal(12,2)").alias("operating_cost_per_day"),
-            _absent("decimal(9,6)").alias("latitude"),
-            _absent("decimal(9,6)").alias("longitude"),
-            _absent("date").alias("opened_at"),
+        return self.view("places").selectExpr(
+            "place_id AS warehouse_id",
+            "place_name AS warehouse_name",
+            "place_name AS city",
+            "place_state AS state",
+            "'Earth' AS country",
+            "CAST(NULL AS STRING) AS warehouse_type",
+            "100000 + 1000 * place_id AS capacity_units",
+            "CAST(40000 + 100 * place_id AS DECIMAL(12,2)) AS operating_cost_per_day",
+            "CAST(NULL AS DECIMAL(9,6)) AS latitude",
+            "CAST(NULL AS DECIMAL(9,6)) AS longitude",
+            "CAST(NULL AS DATE) AS opened_at",
         )
 
     def suppliers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.table("supplier").select(
-            key.alias("supplier_id"),
-            F.col("s_name").alias("supplier_name"),
-            F.lit("Earth").alias("country"),
-            _absent("string").alias("state"),
-            _absent("string").alias("city"),
-            _absent("string").alias("supplier_type"),
-            _rating(key).alias("rating"),
-            _lead_days(key).alias("default_lead_time_days"),
-            _absent("string").alias("payment_terms"),
-            F.lit(True).alias("is_active"),
-            _moment(CREATED_AT).alias("created_at"),
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS supplier_id",
+            "s_name AS supplier_name",
+            "'Earth' AS country",
+            "CAST(NULL AS STRING) AS state",
+            "CAST(NULL AS STRING) AS city",
+            "CAST(NULL AS STRING) AS supplier_type",
+            f"{_RATING.format(key='s_suppkey')} AS rating",
+            f"{_LEAD_DAYS.format(key='s_suppkey')} AS default_lead_time_days",
+            "CAST(NULL AS STRING) AS payment_terms",
+            "TRUE AS is_active",
+            f"TIMESTAMP_NTZ '{CREATED_AT} 00:00:00' AS created_at",
         )
 
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        customer = self.table("customer").withColumn("place_id", F.col("c_nationkey").cast("bigint"))
-        return customer.join(self._places(), "place_id").select(
-            key.alias("customer_id"),
-            F.when(key % 20 == 0, "VIP").when(key % 20 <= 5, "Premium").otherwise("Regular").alias(
-                "customer_segment"
-            ),
-            F.col("n_name").alias("city"),
-            F.col("r_name").alias("state"),
-            F.lit("Earth").alias("country"),
-            F.lit(CREATED_AT).cast("date").alias("signup_date"),
+        located = self.table("customer").selectExpr("c_custkey", "CAST(c_nationkey AS BIGINT) AS place_id")
+        return located.join(self.view("places"), "place_id").selectExpr(
+            "c_custkey AS customer_id",
+            "CASE WHEN c_custkey % 20 = 0 THEN 'VIP' WHEN c_custkey % 20 <= 5 THEN 'Premium'"
+            " ELSE 'Regular' END AS customer_segment",
+            "place_name AS city",
+            "place_state AS state",
+            "'Earth' AS country",
+            f"DATE '{CREATED_AT}' AS signup_date",
+            "place_id",
         )
 
     def products(self) -> DataFrame:
-        key, kind, price = F.col("p_partkey"), F.col("p_type"), _price(F.col("p_retailprice"))
         sources = (
             self.table("lineitem")
             .groupBy(F.col("l_partkey").alias("p_partkey"))
             .agg(F.min("l_suppkey").alias("supplier_id"))
         )
-        return self.table("part").join(sources, "p_partkey", "left").select(
-            key.alias("product_id"),
-            X.padded_code("SKU-", key).alias("sku"),
-            F.col("p_name").alias("product_name"),
-            _category_id(kind).alias("category_id"),
-            F.col("p_brand").alias("brand"),
-            _cost(price).alias("unit_cost"),
-            price.alias("selling_price"),
-            _absent("decimal(10,2)").alias("weight_kg"),
-            F.col("p_size").alias("reorder_point"),
-            F.expr("CAST(p_size DIV 2 AS INT)").alias("safety_stock"),
-            "supplier_id",
-            (key % 50 != 0).alias("is_active"),
-            _moment(CREATED_AT).alias("created_at"),
+        return (
+            self.table("part")
+            .join(sources, "p_partkey", "left")
+            .withColumn("sku", X.padded_code("SKU-", F.col("p_partkey")))
+            .selectExpr(
+                "p_partkey AS product_id",
+                "sku",
+                "p_name AS product_name",
+                f"CAST({_CATEGORY_ID} AS BIGINT) AS category_id",
+                "p_brand AS brand",
+                f"{_COST} AS unit_cost",
+                f"{_PRICE} AS selling_price",
+                "CAST(NULL AS DECIMAL(10,2)) AS weight_kg",
+                "p_size AS reorder_point",
+                "CAST(p_size DIV 2 AS INT) AS safety_stock",
+                "supplier_id",
+                "p_partkey % 50 <> 0 AS is_active",
+                f"TIMESTAMP_NTZ '{CREATED_AT} 00:00:00' AS created_at",
+            )
         )
 
     # order lines
@@ -224,162 +243,139 @@ class _Views:
 
     def sold_lines(self) -> DataFrame:
         """Order lines without prices, for uses that need no join with the products."""
-        return self.lines().select(
-            F.col("line_id").alias("order_item_id"),
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
+        return self.view("lines").selectExpr(
+            "line_id AS order_item_id",
+            "l_orderkey AS order_id",
+            "l_partkey AS product_id",
+            "CAST(l_quantity AS INT) AS quantity",
             "l_returnflag",
-            F.abs("l_discount").cast("decimal(4,2)").alias("discount_rate"),
+            "CAST(abs(l_discount) AS DECIMAL(4,2)) AS discount_rate",
         )
 
     def priced_lines(self) -> DataFrame:
-        prices = self.table("part").select(
-            F.col("p_partkey").alias("product_id"), _price(F.col("p_retailprice")).alias("unit_price")
-        )
-        return self.sold_lines().join(prices, "product_id")
+        prices = self.table("part").selectExpr("p_partkey AS product_id", f"{_PRICE} AS unit_price")
+        return self.view("sold_lines").join(prices, "product_id")
 
-    def _order_items(self) -> DataFrame:
-        gross = F.col("unit_price") * F.col("quantity")
-        discount = F.round(gross * F.col("discount_rate"), 2).cast("decimal(12,2)")
-        return self.priced_lines().select(
-            "order_item_id",
-            "order_id",
-            "product_id",
-            "quantity",
-            "unit_price",
-            discount.alias("discount"),
-            (gross - discount).cast("decimal(14,2)").alias("total_amount"),
-            "l_returnflag",
-        )
+    def valued_lines(self) -> DataFrame:
+        return self.view("priced_lines").withColumn(
+            "discount", F.expr("CAST(round(unit_price * quantity * discount_rate, 2) AS DECIMAL(12,2))")
+        ).withColumn("total_amount", F.expr("CAST(unit_price * quantity - discount AS DECIMAL(14,2))"))
 
     def order_items(self) -> DataFrame:
-        return self._order_items().drop("l_returnflag")
+        return self.view("valued_lines").select(*TABLES["order_items"].names)
 
     # orders
 
-    def _order_heads(self) -> DataFrame:
+    def order_heads(self) -> DataFrame:
         """Orders without their value, which alone needs the lines."""
-        key, ordered = F.col("o_orderkey"), F.col("o_orderdate")
-        nations = self.table("customer").select(
-            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("nation")
-        )
-        places = self._places().withColumnRenamed("place_id", "nation")
-        finished = F.col("o_orderstatus") == "F"
-        status = (
-            F.when(finished & (key % 20 == 0), "RETURNED")
-            .when(finished, "DELIVERED")
-            .when(F.col("o_orderstatus") == "O", "SHIPPED")
-            .when((F.col("o_orderstatus") == "P") & (key % 4 == 0), "CANCELLED")
-            .otherwise("PROCESSING")
-        )
-        return (
-            self.table("orders")
-            .join(nations.join(places, "nation"), "o_custkey")
-            .select(
-                key.alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.when(key % 61 != 0, F.col("nation")).alias("warehouse_id"),
-                ordered.alias("order_date"),
-                status.alias("order_status"),
-                _absent("string").alias("payment_method"),
-                F.col("n_name").alias("shipping_city"),
-                F.col("r_name").alias("shipping_state"),
-                F.when(key % 10 != 3, X.shifted(ordered, 2 + key % 6)).alias("promised_delivery_date"),
-                F.when(finished, X.shifted(ordered, 2 + (key * 7) % 8, key % 24)).alias(
-                    "actual_delivery_date"
-                ),
-            )
+        buyers = self.view("customers").selectExpr(
+            "customer_id AS o_custkey", "place_id", "city AS place_name", "state AS place_state"
+        )
+        actual = _after("o_orderdate", "2 + (o_orderkey * 7) % 8", "o_orderkey % 24")
+        return self.table("orders").join(buyers, "o_custkey").selectExpr(
+            "o_orderkey AS order_id",
+            "o_custkey AS customer_id",
+            "CASE WHEN o_orderkey % 61 <> 0 THEN place_id END AS warehouse_id",
+            "o_orderdate AS order_date",
+            "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 20 = 0 THEN 'RETURNED'"
+            " WHEN o_orderstatus = 'F' THEN 'DELIVERED' WHEN o_orderstatus = 'O' THEN 'SHIPPED'"
+            " WHEN o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'CANCELLED'"
+            " ELSE 'PROCESSING' END AS order_status",
+            "CAST(NULL AS STRING) AS payment_method",
+            "place_name AS shipping_city",
+            "place_state AS shipping_state",
+            f"CASE WHEN o_orderkey % 10 <> 3 THEN {_after('o_orderdate', '2 + o_orderkey % 6')} END"
+            " AS promised_delivery_date",
+            f"CASE WHEN o_orderstatus = 'F' THEN {actual} END AS actual_delivery_date",
         )
 
     def orders(self) -> DataFrame:
-        totals = self.order_items().groupBy("order_id").agg(F.sum("total_amount").alias("lines_total"))
-        extra = F.when(F.col("order_id") % 25 == 0, 1).otherwise(0)
-        value = F.coalesce(F.col("lines_total"), F.lit(0).cast("decimal(14,2)")) + extra
+        totals = self.view("order_items").groupBy("order_id").agg(F.sum("total_amount").alias("lines_total"))
         return (
-            self._order_heads()
+            self.view("order_heads")
             .join(totals, "order_id", "left")
-            .withColumn("order_value", value.cast("decimal(14,2)"))
+            .withColumn(
+                "order_value",
+                F.expr(
+                    "CAST(coalesce(lines_total, 0) + CASE WHEN order_id % 25 = 0 THEN 1 ELSE 0 END"
+                    " AS DECIMAL(14,2))"
+                ),
+            )
             .select(*TABLES["orders"].names)
         )
 
     def shipments(self) -> DataFrame:
-        key, ordered, status = F.col("order_id"), F.col("order_date"), F.col("order_status")
-        return self.orders().select(
-            key.alias("shipment_id"),
+        return self.view("orders").selectExpr(
+            "order_id AS shipment_id",
             "order_id",
-            F.coalesce(F.col("warehouse_id"), F.lit(0)).cast("bigint").alias("warehouse_id"),
-            _absent("string").alias("carrier"),
-            F.when(key % 173 == 0, "LOST")
-            .when(status == "CANCELLED", "CANCELLED")
-            .when(status.isin("DELIVERED", "RETURNED"), "DELIVERED")
-            .when(status == "SHIPPED", "IN_TRANSIT")
-            .otherwise("PACKED")
-            .alias("shipment_status"),
-            F.when(status.isin("DELIVERED", "RETURNED", "SHIPPED"), X.shifted(ordered, 1)).alias("shipped_at"),
-            X.shifted(ordered, 2 + key % 6).alias("estimated_delivery_date"),
+            "coalesce(warehouse_id, 0L) AS warehouse_id",
+            "CAST(NULL AS STRING) AS carrier",
+            "CASE WHEN order_id % 173 = 0 THEN 'LOST' WHEN order_status = 'CANCELLED' THEN 'CANCELLED'"
+            " WHEN order_status IN ('DELIVERED', 'RETURNED') THEN 'DELIVERED'"
+            " WHEN order_status = 'SHIPPED' THEN 'IN_TRANSIT' ELSE 'PACKED' END AS shipment_status",
+            "CASE WHEN order_status IN ('DELIVERED', 'RETURNED', 'SHIPPED')"
+            f" THEN {_after('order_date', '1')} END AS shipped_at",
+            f"{_after('order_date', '2 + order_id % 6')} AS estimated_delivery_date",
             "actual_delivery_date",
-            F.round(40 + F.lit(Decimal("0.0015")) * F.col("order_value"), 2).cast("decimal(12,2)").alias(
-                "shipping_cost"
-            ),
+            "CAST(round(40 + 0.0015 * order_value, 2) AS DECIMAL(12,2)) AS shipping_cost",
         )
 
-    def _returned_lines(self, lines: DataFrame) -> DataFrame:
-        delivered = self._order_heads().filter(F.col("order_status") == "DELIVERED").select(
+    def _returned(self, lines: DataFrame) -> DataFrame:
+        delivered = self.view("order_heads").filter("order_status = 'DELIVERED'").select(
             "order_id", "actual_delivery_date"
         )
-        key = F.col("order_item_id")
-        reasons = F.array(*[F.lit(reason) for reason in RETURN_REASONS])
-        return lines.filter(F.col("l_returnflag") == "R").join(delivered, "order_id").withColumns(
-            {
-                "return_id": key,
-                "return_date": X.shifted(F.col("actual_delivery_date"), 1 + key % 30),
-                "return_quantity": F.greatest(F.lit(1), F.expr("CAST(quantity DIV 2 AS INT)")),
-                "return_reason": F.get(reasons, (key % 7).cast("int")),
-                "return_status": F.when(key % 10 < 7, "COMPLETED").when(key % 10 < 9, "APPROVED").otherwise("PENDING"),
-            }
+        reasons = ", ".join(repr(reason) for reason in RETURN_REASONS)
+        return lines.filter("l_returnflag = 'R'").join(delivered, "order_id").selectExpr(
+            "*",
+            "order_item_id AS return_id",
+            f"{_after('actual_delivery_date', '1 + order_item_id % 30')} AS return_date",
+            "greatest(1, CAST(quantity DIV 2 AS INT)) AS return_quantity",
+            f"get(array({reasons}), CAST(order_item_id % 7 AS INT)) AS return_reason",
+            "CASE WHEN order_item_id % 10 < 7 THEN 'COMPLETED' WHEN order_item_id % 10 < 9 THEN 'APPROVED'"
+            " ELSE 'PENDING' END AS return_status",
         )
 
     def return_facts(self) -> DataFrame:
         """Returns without refunds, for uses that need no prices."""
-        return self._returned_lines(self.sold_lines()).select(
+        return self._returned(self.view("sold_lines")).select(
             "return_id", "order_id", "order_item_id", "product_id", "return_date", "return_quantity"
         )
 
     def returns(self) -> DataFrame:
-        key = F.col("order_item_id")
-        refund = F.round(F.col("total_amount") * F.col("return_quantity") / F.col("quantity"), 2)
-        extra = F.when(key % 89 == 0, 1).otherwise(0)
+        refund = "round(total_amount * return_quantity / quantity, 2)"
         return (
-            self._returned_lines(self._order_items())
-            .withColumn("refund_amount", (refund + extra).cast("decimal(14,2)"))
+            self._returned(self.view("valued_lines"))
+            .withColumn(
+                "refund_amount",
+                F.expr(
+                    f"CAST({refund} + CASE WHEN order_item_id % 89 = 0 THEN 1 ELSE 0 END AS DECIMAL(14,2))"
+                ),
+            )
             .select(*TABLES["returns"].names)
         )
 
     # purchasing
 
-    def _purchased_lines(self) -> DataFrame:
-        shipped = F.col("l_shipdate")
-        po_id = F.col("l_suppkey") * 1000 + (F.year(shipped) - 1995) * 12 + F.month(shipped)
-        return self.table("lineitem").filter(F.col("l_suppkey") % 20 != 7).select(
-            po_id.alias("po_id"), "l_suppkey", F.date_trunc("month", shipped).cast("timestamp_ntz").alias("month")
-        )
-
     def purchase_orders(self) -> DataFrame:
-        po, supplier, month = F.col("po_id"), F.col("supplier_id"), F.col("po_date")
-        lead = _lead_days(supplier)
+        lead = _LEAD_DAYS.format(key="supplier_id")
         return (
-            self._purchased_lines()
-            .select("po_id", F.col("l_suppkey").alias("supplier_id"), F.col("month").alias("po_date"))
+            self.table("lineitem")
+            .filter("l_suppkey % 20 <> 7")
+            .selectExpr(
+                f"{_PO_ID} AS po_id",
+                "l_suppkey AS supplier_id",
+                "CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) AS po_date",
+            )
             .distinct()
-            .select(
+            .selectExpr(
                 "po_id",
                 "supplier_id",
-                (supplier % WAREHOUSES).alias("warehouse_id"),
+                f"supplier_id % {WAREHOUSES} AS warehouse_id",
                 "po_date",
-                X.shifted(month, lead).alias("expected_delivery_date"),
-                F.when(po % 10 != 0, X.shifted(month, lead + po % 6 - 2)).alias("actual_delivery_date"),
-                _po_status(po).alias("po_status"),
+                f"{_after('po_date', lead)} AS expected_delivery_date",
+                f"CASE WHEN po_id % 10 <> 0 THEN {_after('po_date', f'{lead} + po_id % 6 - 2')} END"
+                " AS actual_delivery_date",
+                f"{_PO_STATUS.format(key='po_id')} AS po_status",
             )
         )
 
@@ -388,207 +384,178 @@ class _Views:
 
         Status follows from the order's id, so the lines need no join with the orders.
         """
-        shipped, key = F.col("l_shipdate"), F.col("line_id")
-        po = F.col("l_suppkey") * 1000 + (F.year(shipped) - 1995) * 12 + F.month(shipped)
-        ordered = F.col("l_quantity").cast("int") + 4
-        received = (
-            F.when(_po_status(po) == "CANCELLED", 0)
-            .when(_po_status(po) == "PARTIALLY_RECEIVED", F.expr("(CAST(l_quantity AS INT) + 4) DIV 2"))
-            .otherwise(ordered - F.when(key % 211 == 0, 1).otherwise(0))
-        )
-        return self.lines().filter(F.col("l_suppkey") % 20 != 7).select(
-            key.alias("po_item_id"),
-            po.alias("po_id"),
-            F.col("l_partkey").alias("product_id"),
-            ordered.alias("ordered_quantity"),
-            received.cast("int").alias("received_quantity"),
-            "l_suppkey",
+        return (
+            self.view("lines")
+            .filter("l_suppkey % 20 <> 7")
+            .selectExpr(
+                "line_id AS po_item_id",
+                f"{_PO_ID} AS po_id",
+                "l_partkey AS product_id",
+                "CAST(l_quantity AS INT) + 4 AS ordered_quantity",
+                f"{_PO_STATUS.format(key=f'({_PO_ID})')} AS po_status",
+                "l_suppkey",
+            )
+            .withColumn(
+                "received_quantity",
+                F.expr(
+                    "CAST(CASE po_status WHEN 'CANCELLED' THEN 0"
+                    " WHEN 'PARTIALLY_RECEIVED' THEN ordered_quantity DIV 2"
+                    " ELSE ordered_quantity - CASE WHEN po_item_id % 211 = 0 THEN 1 ELSE 0 END END AS INT)"
+                ),
+            )
+            .drop("po_status")
         )
 
     def purchase_order_items(self) -> DataFrame:
-        costs = self.table("part").select(
-            F.col("p_partkey").alias("product_id"), _cost(_price(F.col("p_retailprice"))).alias("product_cost")
-        )
-        factor = F.lit(Decimal("1.06")) - F.lit(Decimal("0.01")) * _rating(F.col("l_suppkey"))
-        surcharge = F.when(F.col("po_item_id") % 197 == 0, F.lit(Decimal("1.10"))).otherwise(F.lit(Decimal("1.00")))
-        return self.po_line_facts().join(costs, "product_id").select(
+        costs = self.table("part").selectExpr("p_partkey AS product_id", f"{_COST} AS product_cost")
+        factor = f"(1.06 - 0.01 * {_RATING.format(key='l_suppkey')})"
+        surcharge = "CASE WHEN po_item_id % 197 = 0 THEN 1.10 ELSE 1.00 END"
+        return self.view("po_line_facts").join(costs, "product_id").selectExpr(
             "po_item_id",
             "po_id",
             "product_id",
             "ordered_quantity",
             "received_quantity",
-            F.round(F.col("product_cost") * factor * surcharge, 2).cast("decimal(12,2)").alias("unit_cost"),
+            f"CAST(round(product_cost * {factor} * {surcharge}, 2) AS DECIMAL(12,2)) AS unit_cost",
         )
 
     # stock
 
     def inventory_movements(self) -> DataFrame:
-        heads, lines = self._order_heads(), self.sold_lines()
         booked = L.movement_ledger(
-            self.po_line_facts(), self.purchase_orders(), lines, heads, self.return_facts()
+            self.view("po_line_facts"),
+            self.view("purchase_orders"),
+            self.view("sold_lines"),
+            self.view("order_heads"),
+            self.view("return_facts"),
         )
-        placed = heads.filter(F.col("warehouse_id").isNotNull()).select("order_id", "warehouse_id", "order_date")
-        return booked.unionByName(self._other_movements(lines.join(placed, "order_id")))
+        return booked.unionByName(self._other_movements())
 
-    def _other_movements(self, lines: DataFrame) -> DataFrame:
+    def _other_movements(self) -> DataFrame:
         """Transfers, write-offs and adjustments, several per line in one pass."""
-        key = F.col("order_item_id")
-        site = F.col("warehouse_id")
-        text = key.cast("string")
-        transfer, damage, adjustment = key % 97 == 0, key % 97 == 1, key % 97 == 2
-
-        def event(branch: int, kind: str, place: Column, units: Column, reference: Column) -> Column:
-            return F.struct(
-                F.lit(branch).alias("branch"),
-                F.lit(kind).alias("kind"),
-                place.cast("bigint").alias("place"),
-                units.cast("int").alias("units"),
-                reference.alias("reference"),
-            )
 
-        moved, pair = 1 + key % 10, F.concat(F.lit("TRANSFER-"), text)
-        prefix = F.when(key % 2 == 0, "ADJ-IN-").otherwise("ADJ-OUT-")
-        events = (
-            F.when(
-                transfer,
-                F.array(
-                    event(4, "TRANSFER_OUT", site, moved, pair),
-                    event(5, "TRANSFER_IN", (site + 1) % WAREHOUSES, moved, pair),
-                ),
+        def event(branch: int, kind: str, place: str, units: str, reference: str) -> str:
+            return (
+                f"named_struct('branch', {branch}L, 'kind', '{kind}', 'place', CAST({place} AS BIGINT),"
+                f" 'units', CAST({units} AS INT), 'reference', {reference})"
             )
-            .when(damage, F.array(event(6, "DAMAGE", site, 1 + key % 3, F.concat(F.lit("DAMAGE-"), text))))
-            .when(adjustment, F.array(event(7, "ADJUSTMENT", site, 1 + key % 5, F.concat(prefix, text))))
+
+        key = "order_item_id"
+        pair = f"concat('TRANSFER-', {key})"
+        leave = event(4, "TRANSFER_OUT", "warehouse_id", f"1 + {key} % 10", pair)
+        arrive = event(5, "TRANSFER_IN", f"(warehouse_id + 1) % {WAREHOUSES}", f"1 + {key} % 10", pair)
+        damage = event(6, "DAMAGE", "warehouse_id", f"1 + {key} % 3", f"concat('DAMAGE-', {key})")
+        adjust = event(
+            7,
+            "ADJUSTMENT",
+            "warehouse_id",
+            f"1 + {key} % 5",
+            f"concat(CASE WHEN {key} % 2 = 0 THEN 'ADJ-IN-' ELSE 'ADJ-OUT-' END, {key})",
+        )
+        placed = self.view("order_heads").filter("warehouse_id IS NOT NULL").select(
+            "order_id", "warehouse_id", "order_date"
         )
         return (
-            lines.filter(transfer | damage | adjustment)
-            .select("order_item_id", "product_id", "order_date", F.explode(events).alias("event"))
-            .select(
-                (F.col("event.branch").cast("bigint") * LEDGER_BRANCH + key).alias("movement_id"),
-                F.col("event.place").alias("warehouse_id"),
+            self.view("sold_lines")
+            .filter(f"{key} % 97 IN (0, 1, 2)")
+            .join(placed, "order_id")
+            .selectExpr(
+                key,
+                "product_id",
+                "order_date",
+                f"explode(CASE {key} % 97 WHEN 0 THEN array({leave}, {arrive})"
+                f" WHEN 1 THEN array({damage}) ELSE array({adjust}) END) AS event",
+            )
+            .selectExpr(
+                f"event.branch * {LEDGER_BRANCH} + {key} AS movement_id",
+                "event.place AS warehouse_id",
                 "product_id",
-                F.col("event.kind").alias("movement_type"),
-                F.col("event.units").alias("quantity"),
-                F.col("order_date").alias("movement_date"),
-                F.col("event.reference").alias("reference_id"),
+                "event.kind AS movement_type",
+                "event.units AS quantity",
+                "order_date AS movement_date",
+                "event.reference AS reference_id",
             )
         )
 
     def inventory(self) -> DataFrame:
         """Two month ends of stock positions, made per product from its warehouse numbers."""
-        stocked = (
+        days = ", ".join(f"DATE '{day}'" for day in SNAPSHOT_DATES)
+        sites = self.view("warehouses").selectExpr("warehouse_id AS w")
+        return (
             self.table("part")
-            .filter(F.col("p_partkey") % 50 != 0)
-            .select(
-                F.col("p_partkey").alias("p"),
-                F.col("p_size").cast("bigint").alias("rp"),
-                F.explode(F.expr(f"sequence(0L, {WAREHOUSES - 1}L)")).alias("w"),
+            .filter("p_partkey % 50 <> 0")
+            .selectExpr(
+                "p_partkey AS p",
+                "CAST(p_size AS BIGINT) AS rp",
+                f"explode(sequence(0L, {WAREHOUSES - 1}L)) AS w",
             )
-            .filter("(w + p) % 40 != 7")
-        )
-        days = F.array(*[F.lit(day).cast("date") for day in SNAPSHOT_DATES])
-        sites = self.warehouses().select(F.col("warehouse_id").alias("w"))
-        flows = (
-            stocked.join(sites, "w")
-            .withColumn("day", F.explode(days))
-            .withColumns(
-                {
-                    "month": F.month("day").cast("bigint"),
-                    "received": F.expr("CASE WHEN (w + p) % 4 = 0 THEN 0 ELSE (7 * w + 3 * p) % 60 END"),
-                    "sold": F.expr("(13 * w + 7 * p) % (2 * rp + 10)"),
-                    "back": F.expr("CASE WHEN (w + p) % 10 = 0 THEN 3 ELSE 0 END"),
-                    "fix": F.expr("CASE WHEN (w + p) % 20 = 0 THEN p % 21 - 10 ELSE 0 END"),
-                }
+            .filter("(w + p) % 40 <> 7")
+            .join(sites, "w")
+            .selectExpr("*", f"explode(array({days})) AS day")
+            .selectExpr(
+                "*",
+                "CAST(month(day) AS BIGINT) AS month",
+                "(31 * w + 17 * p + month(day)) % (3 * rp + 1) AS opening",
+                "CASE WHEN (w + p) % 4 = 0 THEN 0 ELSE (7 * w + 3 * p) % 60 END AS received",
+                "(13 * w + 7 * p) % (2 * rp + 10) AS sold",
+                "CASE WHEN (w + p) % 10 = 0 THEN 3 ELSE 0 END AS back",
+                "CASE WHEN (w + p) % 20 = 0 THEN p % 21 - 10 ELSE 0 END AS fix",
             )
-            .withColumn("opening", F.expr("(31 * w + 17 * p + month) % (3 * rp + 1)"))
-            .withColumn(
-                "closing",
-                F.expr(
-                    "greatest(0, opening + received - sold + back + fix)"
-                    " + CASE WHEN (3 * w + p) % 50 = 0 THEN 1 ELSE 0 END"
-                ),
+            .selectExpr(
+                "*",
+                "greatest(0, opening + received - sold + back + fix)"
+                " + CASE WHEN (3 * w + p) % 50 = 0 THEN 1 ELSE 0 END AS closing",
+            )
+            .selectExpr(
+                "(month * 100 + w) * 1000000000000 + p AS inventory_id",
+                "w AS warehouse_id",
+                "p AS product_id",
+                "day AS snapshot_date",
+                "CAST(opening AS INT) AS opening_stock",
+                "CAST(received AS INT) AS received_quantity",
+                "CAST(sold AS INT) AS sold_quantity",
+                "CAST(back AS INT) AS returned_quantity",
+                "CAST(fix AS INT) AS adjustment_quantity",
+                "CAST(closing AS INT) AS closing_stock",
+                "CAST(least(closing, (5 * w + 11 * p) % (rp + 1)) AS INT) AS reserved_quantity",
             )
         )
-        as_int = lambda name, alias: F.col(name).cast("int").alias(alias)
-        return flows.select(
-            ((F.col("month") * 100 + F.col("w")) * 10**12 + F.col("p")).alias("inventory_id"),
-            F.col("w").alias("warehouse_id"),
-            F.col("p").alias("product_id"),
-            F.col("day").alias("snapshot_date"),
-            as_int("opening", "opening_stock"),
-            as_int("received", "received_quantity"),
-            as_int("sold", "sold_quantity"),
-            as_int("back", "returned_quantity"),
-            as_int("fix", "adjustment_quantity"),
-            as_int("closing", "closing_stock"),
-            F.expr("least(closing, (5 * w + 11 * p) % (rp + 1))").cast("int").alias("reserved_quantity"),
-        )
-
-
-def _category_id(part_type: Column) -> Column:
-    ids = {name: number for name, (number, _) in CATEGORY_OF_TYPE.items()}
-    return X.looked_up(part_type, ids, None).cast("bigint")
 
 
-def _category_name(part_type: Column) -> Column:
-    return X.looked_up(part_type, {name: label for name, (_, label) in CATEGORY_OF_TYPE.items()}, None)
-
-
-def _rating(supplier: Column) -> Column:
-    return ((200 + (supplier * 37) % 301).cast("decimal(10,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(3,2)")
-
-
-def _lead_days(supplier: Column) -> Column:
-    return (3 + supplier % 18).cast("int")
-
-
-def _price(retail: Column) -> Column:
-    return retail.cast("decimal(12,2)")
-
-
-def _cost(price: Column) -> Column:
-    return F.round(price * F.lit(Decimal("0.80")), 2).cast("decimal(12,2)")
-
-
-def _po_status(po_id: Column) -> Column:
+def corrupted_movements(movements: DataFrame) -> DataFrame:
+    """The ledger with every kind of fault the movement checks look for."""
     return (
-        F.when(po_id % 10 == 0, "CANCELLED")
-        .when((po_id % 10).isin(1, 2), "PARTIALLY_RECEIVED")
-        .otherwise("RECEIVED")
+        movements.withColumn("k", F.col("movement_id") % LEDGER_BRANCH)
+        .selectExpr(
+            "movement_id",
+            "CASE WHEN k % 109 <> 0 THEN warehouse_id END AS warehouse_id",
+            "CASE WHEN k % 107 = 0 THEN -1L ELSE product_id END AS product_id",
+            "CASE WHEN k % 103 = 0 THEN 'BOGUS' ELSE movement_type END AS movement_type",
+            "CASE WHEN k % 101 = 0 THEN -quantity WHEN k % 137 = 0 THEN quantity + 1"
+            " ELSE quantity END AS quantity",
+            "CASE WHEN k % 127 = 0 THEN TIMESTAMP_NTZ '2999-01-01 00:00:00' ELSE movement_date END"
+            " AS movement_date",
+            "CASE WHEN k % 113 = 0 THEN NULL WHEN k % 131 = 0 THEN concat('X', reference_id)"
+            " ELSE reference_id END AS reference_id",
+            "explode(CASE WHEN k % 139 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
+        )
+        .drop("copy")
     )
 
 
-def corrupted_movements(movements: DataFrame) -> DataFrame:
-    """The ledger with every kind of fault the movement checks look for."""
-    k = F.col("movement_id") % LEDGER_BRANCH
-    faulty = movements.select(
-        "movement_id",
-        F.when(k % 109 != 0, F.col("warehouse_id")).alias("warehouse_id"),
-        F.when(k % 107 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("product_id")).alias("product_id"),
-        F.when(k % 103 == 0, "BOGUS").otherwise(F.col("movement_type")).alias("movement_type"),
-        F.when(k % 101 == 0, -F.col("quantity"))
-        .when(k % 137 == 0, F.col("quantity") + 1)
-        .otherwise(F.col("quantity"))
-        .alias("quantity"),
-        F.when(k % 127 == 0, _moment("2999-01-01")).otherwise(F.col("movement_date")).alias("movement_date"),
-        F.when(k % 113 == 0, None)
-        .when(k % 131 == 0, F.concat(F.lit("X"), F.col("reference_id")))
-        .otherwise(F.col("reference_id"))
-        .alias("reference_id"),
-    )
-    copies = F.when(k % 139 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return faulty.withColumn("copy", F.explode(copies)).drop("copy")
+_conformed: dict[tuple[str, str], Relations] = {}
 
 
 def conformed(spark: SparkSession, root: str) -> Relations:
-    """The thirteen operational tables, plus the narrow forms some operators need."""
-    views = _Views(spark, root)
-    return Relations(
-        {name: getattr(views, name) for name in TABLES}
-        | {
-            "order_heads": views._order_heads,
-            "sold_lines": views.sold_lines,
-            "priced_lines": views.priced_lines,
-            "return_facts": views.return_facts,
-            "po_line_facts": views.po_line_facts,
-        }
-    )
+    """The thirteen operational tables, plus the narrow forms some operators need.
+
+    The plans are built once per session and folder; no data is held.
+    """
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _conformed:
+        views = _Views(spark, root)
+        narrow = ("order_heads", "sold_lines", "priced_lines", "return_facts", "po_line_facts")
+        loaders = {name: (lambda name=name: views.view(name)) for name in (*TABLES, *narrow)}
+        loaders["customers"] = lambda: views.view("customers").drop("place_id")
+        _conformed[key] = Relations(loaders)
+    return _conformed[key]
