@@ -14,13 +14,20 @@ _MEASURES = ["inbound_quantity", "outbound_quantity", "net_quantity", "movement_
 _DAILY_GROUP = [name for name in DAILY_METRICS.columns if name not in _MEASURES]
 
 
-def product_attributes(products: DataFrame, categories: DataFrame) -> DataFrame:
-    """Products with their category name.
+def with_product(facts: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """Facts with the attributes of their product and the name of its category.
 
-    Joined once at product size, so the facts that use it meet one join instead of two and
-    never shuffle on the few, heavily repeated category ids.
+    Products join before categories: both are then sized by their own files, so Spark
+    broadcasts what is small and shuffles on product ids only when products are not. Hot
+    product ids are split by the adaptive skew join.
     """
-    return S.typed_products(products).join(S.typed_categories(categories), "category_id", "left")
+    return facts.join(S.typed_products(products), "product_id", "left").join(
+        S.typed_categories(categories), "category_id", "left"
+    )
+
+
+def with_warehouse(facts: DataFrame, warehouses: DataFrame) -> DataFrame:
+    return facts.join(S.typed_warehouses(warehouses), "warehouse_id", "left")
 
 
 def enriched_movements(
@@ -32,11 +39,9 @@ def enriched_movements(
     """
     when = F.col("movement_timestamp")
     kind = F.col("movement_type")
+    named = with_warehouse(with_product(S.typed_movements(movements), products, categories), warehouses)
     return (
-        S.typed_movements(movements)
-        .join(product_attributes(products, categories), "product_id", "left")
-        .join(S.typed_warehouses(warehouses), "warehouse_id", "left")
-        .withColumns(
+        named.withColumns(
             {
                 "movement_date": F.to_date(when),
                 "movement_year": F.year(when),
@@ -85,14 +90,9 @@ def daily_metrics_from_sources(
         .groupBy(*_GRAIN)
         .agg(*_measures(X.movement_direction(kind), X.signed_quantity(kind, F.col("quantity"))))
     )
+    named = with_warehouse(with_product(totals, products, categories), warehouses)
     return (
-        totals.join(product_attributes(products, categories).drop("reorder_point"), "product_id", "left")
-        .join(
-            S.typed_warehouses(warehouses).select("warehouse_id", "warehouse_name"),
-            "warehouse_id",
-            "left",
-        )
-        .withColumns({"movement_year": F.year("movement_date"), "movement_month": F.month("movement_date")})
+        named.withColumns({"movement_year": F.year("movement_date"), "movement_month": F.month("movement_date")})
         .groupBy(*_DAILY_GROUP)
         .agg(*[F.sum(name).alias(name) for name in _MEASURES])
         .select(*DAILY_METRICS.columns)
@@ -104,11 +104,9 @@ def enriched_snapshot(
 ) -> DataFrame:
     """Every stock position with names, available stock and stock status."""
     available = X.available_stock(F.col("closing_stock"), F.col("reserved_quantity"))
+    named = with_warehouse(with_product(S.typed_inventory(inventory), products, categories), warehouses)
     return (
-        S.typed_inventory(inventory)
-        .join(product_attributes(products, categories), "product_id", "left")
-        .join(S.typed_warehouses(warehouses), "warehouse_id", "left")
-        .withColumns(
+        named.withColumns(
             {
                 "snapshot_year": F.year("snapshot_date"),
                 "snapshot_month": F.month("snapshot_date"),

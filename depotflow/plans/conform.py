@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from depotflow.functions import columns as X
 from depotflow.model import LEDGER_BRANCH, RETURN_REASONS, TABLES
-from depotflow.operators import ledger as L
 from depotflow.session import scratch_path
 from depotflow.sources.relations import Relations
 
@@ -124,6 +123,14 @@ _PO_STATUS = (
 )
 
 
+def _received(ordered: str, line: str) -> str:
+    """Units received on a purchase line; the status follows from the order's id."""
+    return (
+        f"CAST(CASE WHEN po_id % 10 = 0 THEN 0 WHEN po_id % 10 IN (1, 2) THEN ({ordered}) DIV 2"
+        f" ELSE ({ordered}) - CASE WHEN {line} % 211 = 0 THEN 1 ELSE 0 END END AS INT)"
+    )
+
+
 def _after(start: str, days: str, hours: str = "0") -> str:
     return f"{start} + make_dt_interval(CAST({days} AS INT), CAST({hours} AS INT))"
 
@@ -238,7 +245,10 @@ class _Views:
     # order lines
 
     def lines(self) -> DataFrame:
-        lineitem = self.table("lineitem")
+        """Lines of orders. The filter is stated here so that every use of the numbering has
+        it, and Spark sees one and the same shuffle to reuse.
+        """
+        lineitem = self.table("lineitem").filter("l_orderkey IS NOT NULL")
         return numbered_lines(lineitem, _wide_orders(self.spark, self.root, lineitem))
 
     def sold_lines(self) -> DataFrame:
@@ -392,18 +402,9 @@ class _Views:
                 f"{_PO_ID} AS po_id",
                 "l_partkey AS product_id",
                 "CAST(l_quantity AS INT) + 4 AS ordered_quantity",
-                f"{_PO_STATUS.format(key=f'({_PO_ID})')} AS po_status",
                 "l_suppkey",
             )
-            .withColumn(
-                "received_quantity",
-                F.expr(
-                    "CAST(CASE po_status WHEN 'CANCELLED' THEN 0"
-                    " WHEN 'PARTIALLY_RECEIVED' THEN ordered_quantity DIV 2"
-                    " ELSE ordered_quantity - CASE WHEN po_item_id % 211 = 0 THEN 1 ELSE 0 END END AS INT)"
-                ),
-            )
-            .drop("po_status")
+            .withColumn("received_quantity", F.expr(_received("ordered_quantity", "po_item_id")))
         )
 
     def purchase_order_items(self) -> DataFrame:
@@ -422,59 +423,69 @@ class _Views:
     # stock
 
     def inventory_movements(self) -> DataFrame:
-        booked = L.movement_ledger(
-            self.view("po_line_facts"),
-            self.view("purchase_orders"),
-            self.view("sold_lines"),
-            self.view("order_heads"),
-            self.view("return_facts"),
-        )
-        return booked.unionByName(self._other_movements())
+        """All movements of a line in one pass: its receipt, sale and return, and other events.
 
-    def _other_movements(self) -> DataFrame:
-        """Transfers, write-offs and adjustments, several per line in one pass."""
+        The lines are numbered and met with their orders once; a line then gives up to five
+        movements. ``operators.ledger`` derives the first three kinds from the tables instead.
+        """
+        lead = _LEAD_DAYS.format(key="l_suppkey")
+        month = "CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ)"
+        heads = self.view("order_heads").selectExpr(
+            "order_id AS l_orderkey", "warehouse_id", "order_date", "order_status", "actual_delivery_date"
+        )
+        k = "line_id"
 
-        def event(branch: int, kind: str, place: str, units: str, reference: str) -> str:
+        def event(
+            condition: str, branch: int, kind: str, units: str, at: str, reference: str, place: str = "warehouse_id"
+        ) -> str:
             return (
-                f"named_struct('branch', {branch}L, 'kind', '{kind}', 'place', CAST({place} AS BIGINT),"
-                f" 'units', CAST({units} AS INT), 'reference', {reference})"
+                f"CASE WHEN {condition} THEN named_struct('movement_id', {branch * LEDGER_BRANCH}L + {k},"
+                f" 'warehouse_id', CAST({place} AS BIGINT), 'product_id', l_partkey, 'movement_type', '{kind}',"
+                f" 'quantity', CAST({units} AS INT), 'movement_date', {at}, 'reference_id', {reference}) END"
             )
 
-        key = "order_item_id"
-        pair = f"concat('TRANSFER-', {key})"
-        leave = event(4, "TRANSFER_OUT", "warehouse_id", f"1 + {key} % 10", pair)
-        arrive = event(5, "TRANSFER_IN", f"(warehouse_id + 1) % {WAREHOUSES}", f"1 + {key} % 10", pair)
-        damage = event(6, "DAMAGE", "warehouse_id", f"1 + {key} % 3", f"concat('DAMAGE-', {key})")
-        adjust = event(
-            7,
-            "ADJUSTMENT",
-            "warehouse_id",
-            f"1 + {key} % 5",
-            f"concat(CASE WHEN {key} % 2 = 0 THEN 'ADJ-IN-' ELSE 'ADJ-OUT-' END, {key})",
-        )
-        placed = self.view("order_heads").filter("warehouse_id IS NOT NULL").select(
-            "order_id", "warehouse_id", "order_date"
+        placed = "warehouse_id IS NOT NULL"
+        pair = f"concat('TRANSFER-', {k})"
+        events = [
+            event(
+                "received > 0", 1, "PURCHASE_RECEIPT", "received", "arrived",
+                f"concat('PO-', po_id, '-', {k})", f"l_suppkey % {WAREHOUSES}",
+            ),
+            event(
+                f"{placed} AND order_status <> 'CANCELLED'", 2, "SALE", "units", "order_date",
+                f"concat('ORD-', l_orderkey, '-', {k})",
+            ),
+            event(
+                f"{placed} AND l_returnflag = 'R' AND order_status = 'DELIVERED'", 3, "RETURN",
+                "greatest(1, CAST(units DIV 2 AS INT))",
+                _after("actual_delivery_date", f"1 + {k} % 30"), f"concat('RET-', {k})",
+            ),
+            event(f"{placed} AND {k} % 97 = 0", 4, "TRANSFER_OUT", f"1 + {k} % 10", "order_date", pair),
+            event(
+                f"{placed} AND {k} % 97 = 0", 5, "TRANSFER_IN", f"1 + {k} % 10", "order_date", pair,
+                f"(warehouse_id + 1) % {WAREHOUSES}",
+            ),
+            event(
+                f"{placed} AND {k} % 97 = 1", 6, "DAMAGE", f"1 + {k} % 3", "order_date", f"concat('DAMAGE-', {k})"
+            ),
+            event(
+                f"{placed} AND {k} % 97 = 2", 7, "ADJUSTMENT", f"1 + {k} % 5", "order_date",
+                f"concat(CASE WHEN {k} % 2 = 0 THEN 'ADJ-IN-' ELSE 'ADJ-OUT-' END, {k})",
+            ),
+        ]
+        ordered = self.view("lines").selectExpr(
+            k, "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag",
+            "CAST(l_quantity AS INT) AS units", f"{_PO_ID} AS po_id", f"{month} AS month",
         )
         return (
-            self.view("sold_lines")
-            .filter(f"{key} % 97 IN (0, 1, 2)")
-            .join(placed, "order_id")
-            .selectExpr(
-                key,
-                "product_id",
-                "order_date",
-                f"explode(CASE {key} % 97 WHEN 0 THEN array({leave}, {arrive})"
-                f" WHEN 1 THEN array({damage}) ELSE array({adjust}) END) AS event",
-            )
+            ordered.join(heads, "l_orderkey", "left")
             .selectExpr(
-                f"event.branch * {LEDGER_BRANCH} + {key} AS movement_id",
-                "event.place AS warehouse_id",
-                "product_id",
-                "event.kind AS movement_type",
-                "event.units AS quantity",
-                "order_date AS movement_date",
-                "event.reference AS reference_id",
+                "*",
+                f"CASE WHEN l_suppkey % 20 <> 7 THEN {_received('units + 4', k)} END AS received",
+                f"CASE WHEN po_id % 10 <> 0 THEN {_after('month', f'{lead} + po_id % 6 - 2')}"
+                f" ELSE {_after('month', lead)} END AS arrived",
             )
+            .selectExpr(f"inline(array_compact(array({', '.join(events)})))")
         )
 
     def inventory(self) -> DataFrame:

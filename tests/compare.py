@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import datetime
-import decimal
-import math
-
 RAW_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
 def duck(root: str):
+    """A connection with the raw tables of a folder as views."""
     import duckdb
 
     connection = duckdb.connect()
@@ -18,33 +15,25 @@ def duck(root: str):
     return connection
 
 
-def _plain(value):
-    if isinstance(value, decimal.Decimal):
-        return float(value)
-    if isinstance(value, float):
-        return None if math.isnan(value) else value
-    if isinstance(value, datetime.datetime):
-        return value.isoformat(sep=" ")
-    if isinstance(value, datetime.date):
-        return value.isoformat()
-    return value
-
-
-def normalised(columns: list[str], rows) -> list[tuple]:
-    order = sorted(range(len(columns)), key=lambda i: columns[i])
-    plain = [tuple(_plain(row[i]) for i in order) for row in rows]
-    return sorted(plain, key=lambda row: tuple((value is None, str(value)) for value in row))
+def _types(connection, relation: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in connection.execute(f"DESCRIBE {relation}").fetchall()}
 
 
 def differences(spark_frame, connection, sql: str) -> list[str]:
     """What differs between a Spark result and the SQL result; empty when nothing does."""
-    cursor = connection.execute(sql)
-    names = [column[0] for column in cursor.description]
-    expected = cursor.fetchall()
-    if sorted(names) != sorted(spark_frame.columns):
-        return [f"columns {sorted(spark_frame.columns)} != {sorted(names)}"]
-    actual = normalised(spark_frame.columns, spark_frame.collect())
-    wanted = normalised(names, expected)
-    if len(actual) != len(wanted):
-        return [f"rows {len(actual)} != {len(wanted)}"]
-    return [f"{a} != {w}" for a, w in zip(actual, wanted) if a != w][:3]
+    connection.register("actual_result", spark_frame.toArrow())
+    try:
+        connection.execute(f"CREATE OR REPLACE TEMP TABLE wanted_result AS {sql}")
+        actual, wanted = _types(connection, "actual_result"), _types(connection, "wanted_result")
+        if actual != wanted:
+            names = actual.keys() | wanted.keys()
+            return [f"{n}: {actual.get(n)} != {wanted.get(n)}" for n in sorted(names) if actual.get(n) != wanted.get(n)]
+        columns = ", ".join(f'"{name}"' for name in sorted(actual))
+        found = []
+        for left, right in (("actual_result", "wanted_result"), ("wanted_result", "actual_result")):
+            extra = f"SELECT {columns} FROM {left} EXCEPT ALL SELECT {columns} FROM {right}"
+            rows = connection.execute(f"SELECT * FROM ({extra}) LIMIT 3").fetchall()
+            found += [f"only in {left}: {row}" for row in rows]
+        return found
+    finally:
+        connection.unregister("actual_result")
