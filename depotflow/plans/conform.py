@@ -425,67 +425,63 @@ class _Views:
     def inventory_movements(self) -> DataFrame:
         """All movements of a line in one pass: its receipt, sale and return, and other events.
 
-        The lines are numbered and met with their orders once; a line then gives up to five
-        movements. ``operators.ledger`` derives the first three kinds from the tables instead.
+        The lines are numbered and met with their orders once. A line is then repeated for
+        each movement it causes, and the columns follow from the movement's branch, so a use
+        that needs two columns computes two. ``operators.ledger`` derives the first three
+        branches from the tables instead.
         """
+        k = "line_id"
         lead = _LEAD_DAYS.format(key="l_suppkey")
-        month = "CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ)"
         heads = self.view("order_heads").selectExpr(
             "order_id AS l_orderkey", "warehouse_id", "order_date", "order_status", "actual_delivery_date"
         )
-        k = "line_id"
-
-        def event(
-            condition: str, branch: int, kind: str, units: str, at: str, reference: str, place: str = "warehouse_id"
-        ) -> str:
-            return (
-                f"CASE WHEN {condition} THEN named_struct('movement_id', {branch * LEDGER_BRANCH}L + {k},"
-                f" 'warehouse_id', CAST({place} AS BIGINT), 'product_id', l_partkey, 'movement_type', '{kind}',"
-                f" 'quantity', CAST({units} AS INT), 'movement_date', {at}, 'reference_id', {reference}) END"
-            )
-
+        lines = self.view("lines").selectExpr(
+            k,
+            "l_orderkey",
+            "l_partkey",
+            "l_suppkey",
+            "l_returnflag",
+            "CAST(l_quantity AS INT) AS units",
+            f"{_PO_ID} AS po_id",
+            "CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) AS month",
+        )
         placed = "warehouse_id IS NOT NULL"
-        pair = f"concat('TRANSFER-', {k})"
-        events = [
-            event(
-                "received > 0", 1, "PURCHASE_RECEIPT", "received", "arrived",
-                f"concat('PO-', po_id, '-', {k})", f"l_suppkey % {WAREHOUSES}",
-            ),
-            event(
-                f"{placed} AND order_status <> 'CANCELLED'", 2, "SALE", "units", "order_date",
-                f"concat('ORD-', l_orderkey, '-', {k})",
-            ),
-            event(
-                f"{placed} AND l_returnflag = 'R' AND order_status = 'DELIVERED'", 3, "RETURN",
-                "greatest(1, CAST(units DIV 2 AS INT))",
-                _after("actual_delivery_date", f"1 + {k} % 30"), f"concat('RET-', {k})",
-            ),
-            event(f"{placed} AND {k} % 97 = 0", 4, "TRANSFER_OUT", f"1 + {k} % 10", "order_date", pair),
-            event(
-                f"{placed} AND {k} % 97 = 0", 5, "TRANSFER_IN", f"1 + {k} % 10", "order_date", pair,
-                f"(warehouse_id + 1) % {WAREHOUSES}",
-            ),
-            event(
-                f"{placed} AND {k} % 97 = 1", 6, "DAMAGE", f"1 + {k} % 3", "order_date", f"concat('DAMAGE-', {k})"
-            ),
-            event(
-                f"{placed} AND {k} % 97 = 2", 7, "ADJUSTMENT", f"1 + {k} % 5", "order_date",
-                f"concat(CASE WHEN {k} % 2 = 0 THEN 'ADJ-IN-' ELSE 'ADJ-OUT-' END, {k})",
-            ),
-        ]
-        ordered = self.view("lines").selectExpr(
-            k, "l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag",
-            "CAST(l_quantity AS INT) AS units", f"{_PO_ID} AS po_id", f"{month} AS month",
+        causes = {
+            1: "received > 0",
+            2: f"{placed} AND order_status <> 'CANCELLED'",
+            3: f"{placed} AND l_returnflag = 'R' AND order_status = 'DELIVERED'",
+            4: f"{placed} AND {k} % 97 = 0",
+            5: f"{placed} AND {k} % 97 = 0",
+            6: f"{placed} AND {k} % 97 = 1",
+            7: f"{placed} AND {k} % 97 = 2",
+        }
+        branches = ", ".join(f"CASE WHEN {cause} THEN {branch}L END" for branch, cause in causes.items())
+        arrived = (
+            f"CASE WHEN po_id % 10 <> 0 THEN {_after('month', f'{lead} + po_id % 6 - 2')}"
+            f" ELSE {_after('month', lead)} END"
         )
+        returned = _after("actual_delivery_date", f"1 + {k} % 30")
         return (
-            ordered.join(heads, "l_orderkey", "left")
+            lines.join(heads, "l_orderkey", "left")
+            .selectExpr("*", f"CASE WHEN l_suppkey % 20 <> 7 THEN {_received('units + 4', k)} END AS received")
+            .selectExpr("*", f"explode(array({branches})) AS branch")
+            .filter("branch IS NOT NULL")
             .selectExpr(
-                "*",
-                f"CASE WHEN l_suppkey % 20 <> 7 THEN {_received('units + 4', k)} END AS received",
-                f"CASE WHEN po_id % 10 <> 0 THEN {_after('month', f'{lead} + po_id % 6 - 2')}"
-                f" ELSE {_after('month', lead)} END AS arrived",
+                f"branch * {LEDGER_BRANCH} + {k} AS movement_id",
+                f"CASE branch WHEN 1 THEN l_suppkey % {WAREHOUSES} WHEN 5 THEN (warehouse_id + 1) % {WAREHOUSES}"
+                " ELSE warehouse_id END AS warehouse_id",
+                "l_partkey AS product_id",
+                "CASE branch WHEN 1 THEN 'PURCHASE_RECEIPT' WHEN 2 THEN 'SALE' WHEN 3 THEN 'RETURN'"
+                " WHEN 4 THEN 'TRANSFER_OUT' WHEN 5 THEN 'TRANSFER_IN' WHEN 6 THEN 'DAMAGE'"
+                " ELSE 'ADJUSTMENT' END AS movement_type",
+                "CAST(CASE branch WHEN 1 THEN received WHEN 2 THEN units WHEN 3 THEN greatest(1, units DIV 2)"
+                f" WHEN 6 THEN 1 + {k} % 3 WHEN 7 THEN 1 + {k} % 5 ELSE 1 + {k} % 10 END AS INT) AS quantity",
+                f"CASE branch WHEN 1 THEN {arrived} WHEN 3 THEN {returned} ELSE order_date END AS movement_date",
+                f"concat(CASE branch WHEN 1 THEN concat('PO-', po_id, '-') WHEN 2 THEN concat('ORD-', l_orderkey, '-')"
+                " WHEN 3 THEN 'RET-' WHEN 6 THEN 'DAMAGE-'"
+                f" WHEN 7 THEN CASE WHEN {k} % 2 = 0 THEN 'ADJ-IN-' ELSE 'ADJ-OUT-' END ELSE 'TRANSFER-' END, {k})"
+                " AS reference_id",
             )
-            .selectExpr(f"inline(array_compact(array({', '.join(events)})))")
         )
 
     def inventory(self) -> DataFrame:
