@@ -155,25 +155,31 @@ def missing_positions(
     products: DataFrame,
     inventory: DataFrame,
     snapshot_date: Column,
-    slices: int = 16,
+    list_size: int = 1000,
 ) -> DataFrame:
     """Warehouse and active product pairs without a stock position on a date.
 
     Only the missing pairs are ever made: each product's stocked warehouses are taken away
-    from the list of all. Warehouses are dealt into slices, so neither list of a slice can
-    hold more than its share of them, and a product's pairs spread over as many groups.
+    from the list of all. Beyond ``list_size`` warehouses the lists are dealt into slices by
+    hash, as many as the number of warehouses asks for, so no list grows with it.
     """
-    dealt = F.pmod(F.col("warehouse_id"), F.lit(slices)).alias("slice")
-    listed = warehouses.groupBy(dealt).agg(F.collect_set("warehouse_id").alias("every"))
+    slices = warehouses.agg(
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / list_size)).cast("bigint").alias("slices")
+    ).scalar()
+    dealt = F.pmod(F.xxhash64("warehouse_id"), slices)
+    listed = (
+        warehouses.select("warehouse_id", dealt.alias("slice"))
+        .groupBy("slice")
+        .agg(F.collect_set("warehouse_id").alias("every"))
+    )
     stocked = (
         inventory.filter(F.col("snapshot_date") == snapshot_date)
-        .groupBy("product_id", dealt)
+        .select("product_id", "warehouse_id", dealt.alias("slice"))
+        .groupBy("product_id", "slice")
         .agg(F.collect_set("warehouse_id").alias("held"))
     )
-    wanted = (
-        products.filter("is_active")
-        .select("product_id", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
-        .withColumn("slice", F.col("slice").cast("bigint"))
+    wanted = products.filter("is_active").select(
+        "product_id", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("slice")
     )
     none_held = F.array().cast("array<bigint>")
     return (

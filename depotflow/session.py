@@ -7,12 +7,28 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+SHUFFLE_PARTITION_BYTES = 200 * 1024**2
+
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
 _local_fallbacks: dict[str, str] = {}
 
 
-def build_session(app_name: str = "depotflow", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
+    """Partitions that keep a shuffle of this size near 200 MiB each.
+
+    The adaptive planner merges small partitions at run time but never makes more of them,
+    so the start should fit the largest shuffle: some 500,000 for 100 TB.
+    """
+    return max(at_least, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
+
+
+def build_session(
+    app_name: str = "depotflow",
+    master: str | None = None,
+    largest_shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings the operators are tested under.
 
     On a cluster the session is normally made by the launcher; nothing in the package
@@ -25,8 +41,10 @@ def build_session(app_name: str = "depotflow", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        **conf,
     }
+    if largest_shuffle_bytes is not None:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(largest_shuffle_bytes))
+    settings |= conf
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

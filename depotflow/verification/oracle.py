@@ -393,6 +393,12 @@ def _bodies() -> dict[str, str]:
                                    " ON p.product_id = m.product_id WHERE p.product_id IS NULL",
         "dq_orphan_rows_warehouses": f"SELECT m.* FROM {dirty} m LEFT JOIN warehouses w"
                                      " ON w.warehouse_id = m.warehouse_id WHERE w.warehouse_id IS NULL",
+        "reference_keys": f"""
+            SELECT movement_id, reference_id,
+                   try_cast(split_part(reference_id, '-', 2) AS BIGINT) AS second,
+                   try_cast(split_part(reference_id, '-', 3) AS BIGINT) AS third,
+                   regexp_full_match(reference_id, 'PO-[0-9]+-[0-9]+') AS is_receipt
+            FROM {dirty}""",
         "dq_unpaired_transfers": _unpaired(dirty),
         "movement_audit_dirty": _movement_audit(dirty),
         "dq_table_contract": _table_contract(),

@@ -8,7 +8,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from depotflow.model import CONTRACTS, MOVEMENTS_PROCESSED, TABLES
+from depotflow.functions import columns as X
+from depotflow.model import CONTRACTS, MOVEMENTS_PROCESSED, RECEIPT_REFERENCE, TABLES
 from depotflow.operators import audits as R
 from depotflow.operators import inventory as I
 from depotflow.operators import ledger as L
@@ -201,6 +202,19 @@ def dq_orphan_rows_warehouses(tables):
     return Q.unreferenced_rows(moves, "warehouse_id", tables["warehouses"], "warehouse_id")
 
 
+@_query
+def reference_keys(tables):
+    """The numbers inside movement references, and whether a receipt's is well formed."""
+    reference = F.col("reference_id")
+    return _with_faults(tables)["inventory_movements"].select(
+        "movement_id",
+        "reference_id",
+        X.reference_part(reference, 2).alias("second"),
+        X.reference_part(reference, 3).alias("third"),
+        reference.rlike(RECEIPT_REFERENCE).alias("is_receipt"),
+    )
+
+
 # --- movements against their documents ---------------------------------------------------------
 
 

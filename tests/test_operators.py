@@ -286,8 +286,9 @@ def test_missing_positions_match_brute_force(spark):
         dict(warehouse_id=0, product_id=5, snapshot_date=other),
     )
     wanted = {(w, p) for w in range(40) for p in range(30) if p % 4} - set(held)
-    got = rows(R.missing_positions(sites, goods, stock, F.lit(day)))
-    assert len(got) == len(set(got)) and set(got) == wanted
+    for list_size in (1000, 40, 7):
+        got = rows(R.missing_positions(sites, goods, stock, F.lit(day), list_size))
+        assert len(got) == len(set(got)) and set(got) == wanted
 
 
 def test_purchase_consistency_and_costs(spark):
