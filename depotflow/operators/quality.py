@@ -51,17 +51,22 @@ def _single(label: str, counted: DataFrame) -> DataFrame:
     )
 
 
+def _unpivoted(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """One result row per label from a one-row frame with a column per label."""
+    pairs = [
+        F.struct(F.lit(label).alias("check"), F.col(f"rule_{i}").cast("bigint").alias("violations"))
+        for i, label in enumerate(labels)
+    ]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def row_rules(frame: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Violations of any number of row conditions, in one pass over the frame."""
     labels = list(rules)
     counts = frame.agg(
         *[F.count_if(rules[label]).alias(f"rule_{i}") for i, label in enumerate(labels)]
     )
-    pairs = [
-        F.struct(F.lit(label).alias("check"), F.col(f"rule_{i}").alias("violations"))
-        for i, label in enumerate(labels)
-    ]
-    return counts.select(F.inline(F.array(*pairs)))
+    return _unpivoted(counts, labels)
 
 
 def null_keys(frame: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
@@ -111,6 +116,44 @@ def missing_references(
     return _single(label, orphaned.agg(F.sum("n").alias("violations")))
 
 
+def missing_references_of(
+    child: DataFrame,
+    references: Mapping[str, tuple[str, DataFrame, str]],
+    null_is_violation: bool,
+) -> DataFrame:
+    """The same for several columns of one child, in one pass over it and with one join.
+
+    ``references`` maps a label to the column, its parent and the parent's key.
+    """
+    labels = list(references)
+    columns = [references[label][0] for label in labels]
+    pairs = child.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("reference"), F.col(column).alias("value"))
+                    for i, column in enumerate(columns)
+                ]
+            )
+        )
+    )
+    if not null_is_violation:
+        pairs = pairs.filter(F.col("value").isNotNull())
+    counted = pairs.groupBy("reference", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = all_checks(
+        parent.select(F.lit(i).alias("reference"), F.col(key).alias("value"))
+        for i, (_, parent, key) in enumerate(references.values())
+    )
+    missing = counted.join(known, ["reference", "value"], "left_anti")
+    totals = missing.agg(
+        *[
+            F.coalesce(F.sum(F.when(F.col("reference") == i, F.col("n"))), F.lit(0)).alias(f"rule_{i}")
+            for i in range(len(labels))
+        ]
+    )
+    return _unpivoted(totals, labels)
+
+
 def empty_relation(frame: DataFrame, label: str) -> DataFrame:
     """One violation when the frame has no rows."""
     counted = frame.agg((F.count(F.lit(1)) == 0).cast("bigint").alias("violations"))

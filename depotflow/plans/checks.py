@@ -66,21 +66,31 @@ def source_counts(relations: Relations) -> DataFrame:
 # --- data-quality gate -----------------------------------------------------------------------
 
 
-def source_references(relations: Relations) -> DataFrame:
-    """Rows without the row they refer to, one result per declared pair."""
+def _references(
+    relations: Relations, declared: dict[str, dict[str, tuple[str, str]]], null_is_violation: bool
+) -> DataFrame:
+    """Missing references, one pass per child: child to label to column and parent."""
     return Q.all_checks(
-        Q.missing_references(
+        Q.missing_references_of(
             relations[child],
-            column,
-            relations[parent],
-            PRIMARY_KEYS[parent],
-            f"{child} without {parent}",
-            null_is_violation=True,
+            {
+                label: (column, relations[parent], PRIMARY_KEYS[parent])
+                for label, (column, parent) in wanted.items()
+            },
+            null_is_violation,
         )
-        for child, column, parent in SOURCE_REFERENCES
+        for child, wanted in declared.items()
     )
 
 
+def source_references(relations: Relations) -> DataFrame:
+    """Rows without the row they refer to, one result per declared pair."""
+    declared: dict[str, dict[str, tuple[str, str]]] = {}
+    for child, column, parent in SOURCE_REFERENCES:
+        declared.setdefault(child, {})[f"{child} without {parent}"] = (column, parent)
+    return _references(relations, declared, null_is_violation=True)
+
+
 def movement_conditions(as_of: Column) -> dict[str, Column]:
     """Faults a movement row can show by itself."""
     return {
@@ -117,17 +127,15 @@ def faulty_movements(movements: DataFrame, as_of: Column) -> DataFrame:
 def movement_audit(relations: Relations, as_of: Column) -> DataFrame:
     """Everything known about the soundness of the movement table, document checks included."""
     moves = relations["inventory_movements"]
-    references = [
-        Q.missing_references(
-            moves, column, relations[parent], PRIMARY_KEYS[parent], f"orphan {parent}", null_is_violation=True
-        )
-        for column, parent in (("warehouse_id", "warehouses"), ("product_id", "products"))
-    ]
+    orphans = {
+        "orphan warehouses": ("warehouse_id", "warehouses"),
+        "orphan products": ("product_id", "products"),
+    }
     return Q.all_checks(
         [
             Q.empty_relation(moves, "empty movement table"),
             movement_checks(moves, as_of),
-            *references,
+            _references(relations, {"inventory_movements": orphans}, null_is_violation=True),
             A.purchase_reference_check(moves, relations["purchase_order_items"], relations["purchase_orders"]),
             A.sale_reference_check(moves, relations["order_items"], relations["orders"]),
             A.return_reference_check(moves, relations["returns"], relations["orders"]),
@@ -150,17 +158,11 @@ def table_contract(relations: Relations) -> DataFrame:
         Q.duplicate_keys(relations[table], keys, f"unique {table}({', '.join(keys)})", ignore_nulls=True)
         for table, keys in UNIQUE_KEYS
     ]
-    parts += [
-        Q.missing_references(
-            relations[ref.child],
-            ref.column,
-            relations[ref.parent],
-            ref.parent_key,
-            f"fk {ref.child}({ref.column}) -> {ref.parent}",
-            null_is_violation=False,
-        )
-        for ref in REFERENCES
-    ]
+    declared: dict[str, dict[str, tuple[str, str]]] = {}
+    for ref in REFERENCES:
+        label = f"fk {ref.child}({ref.column}) -> {ref.parent}"
+        declared.setdefault(ref.child, {})[label] = (ref.column, ref.parent)
+    parts.append(_references(relations, declared, null_is_violation=False))
     parts += [
         Q.row_rules(relations[table], {f"check {table}: {rule}": Q.breaks(rule) for rule in rules})
         for table, rules in VALUE_RULES.items()
@@ -278,10 +280,13 @@ def declared_tests(
     def unique(model: str, frame: DataFrame, column: str) -> DataFrame:
         return Q.duplicate_keys(frame, [column], f"unique {model}.{column}", ignore_nulls=True)
 
-    def related(column: str, parent: str, frame: DataFrame) -> DataFrame:
-        label = f"relationships stg_inventory_movements.{column} -> {parent}"
-        return Q.missing_references(movements, column, frame, column, label, null_is_violation=False)
-
+    related = {
+        f"relationships stg_inventory_movements.{column} -> {name}": (column, parent, column)
+        for column, name, parent in (
+            ("warehouse_id", "warehouses", warehouses),
+            ("product_id", "products", products),
+        )
+    }
     return Q.all_checks(
         [
             Q.row_rules(
@@ -297,8 +302,7 @@ def declared_tests(
                 },
             ),
             unique("stg_inventory_movements", movements, "movement_id"),
-            related("warehouse_id", "warehouses", warehouses),
-            related("product_id", "products", products),
+            Q.missing_references_of(movements, related, null_is_violation=False),
             Q.row_rules(
                 daily,
                 not_null(

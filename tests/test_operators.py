@@ -177,6 +177,10 @@ def test_missing_references_and_nulls(spark):
     strict = Q.missing_references(child, "k", parent, "k", "c", null_is_violation=True)
     lenient = Q.missing_references(child, "k", parent, "k", "c", null_is_violation=False)
     assert (strict.first()["violations"], lenient.first()["violations"]) == (3, 2)
+    two = child.selectExpr("k", "cast(2 as bigint) AS j")
+    wanted = {"k": ("k", parent, "k"), "j": ("j", parent, "k")}
+    for frame, nulls, expected in ((two, True, (0, 3)), (two, False, (0, 2)), (two.filter("false"), True, (0, 0))):
+        assert rows(Q.missing_references_of(frame, wanted, nulls)) == [("j", expected[0]), ("k", expected[1])]
 
 
 def test_generic_checks(spark):
