@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import simhash
+from depotflow.llm import simhash, substrings
 from depotflow.llm.common import table
 
 
@@ -15,9 +15,39 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents outside passages of 35 words that start more than once."""
+    return substrings.substring_digests(table(spark, sf_dir, "documents"), length=35)
+
+
+OP7_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT rid, p, array_to_string(w[p:p + 34], ' ') AS seq
+  FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS p FROM words)
+), repeated AS (
+  SELECT rid, list(p) AS starts
+  FROM (SELECT rid, p, count(*) OVER (PARTITION BY seq) AS n FROM windows) WHERE n > 1 GROUP BY rid
+), covered AS (
+  SELECT rid, list_sort(list(DISTINCT pos)) AS gone
+  FROM (SELECT rid, unnest(range(s, s + 35)) AS pos FROM (SELECT rid, unnest(starts) AS s FROM repeated)) GROUP BY rid
+), exploded AS (
+  SELECT rid, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM words
+), kept AS (
+  SELECT e.rid, string_agg(e.word, ' ' ORDER BY e.pos) AS text, count(*) AS n
+  FROM exploded e LEFT JOIN (SELECT rid, unnest(gone) AS pos FROM covered) g ON e.rid = g.rid AND e.pos = g.pos
+  WHERE g.rid IS NULL GROUP BY e.rid
+)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, CAST(len(w.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.rid = k.rid
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash": op6_simhash}
+    return {"op6_simhash": op6_simhash, "op7_substrings": op7_substrings}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op7_substrings": OP7_SQL}
