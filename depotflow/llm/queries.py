@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import simhash, substrings
-from depotflow.llm.common import table
+from depotflow.llm import langid, ordinal, simhash, substrings, subwords
+from depotflow.llm.common import held_out, table
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,8 +45,32 @@ FROM words w LEFT JOIN kept k ON w.rid = k.rid
 """
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those whose fold is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return langid.document_languages(docs, langid.fit_languages(docs, ~held_out(4, 2)))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from labels whose fold is not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = subwords.fit_quality(docs, table(spark, sf_dir, "labels"), ~held_out(3, 1))
+    return subwords.quality_scores(docs, model)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The expected severity and grade of every document, learned from the toxicity labels."""
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.severities(docs, ordinal.fit_ordinal(docs, table(spark, sf_dir, "labels")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_simhash": op6_simhash, "op7_substrings": op7_substrings}
+    return {
+        "op4_language": op4_language,
+        "op5_quality": op5_quality,
+        "op9_toxicity": op9_toxicity,
+        "op6_simhash": op6_simhash, "op7_substrings": op7_substrings,
+    }
 
 
 def llm_oracles() -> dict[str, str]:
