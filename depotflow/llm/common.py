@@ -62,23 +62,21 @@ def lower_words(text: str | None) -> list[bytes]:
     return [] if text is None else text.encode("utf-8", "surrogatepass").translate(LOWER).split()
 
 
-class WordHashes:
+class WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound per worker."""
 
     def __init__(self, seed: int = 7):
-        self.seed, self.known = seed, {}
+        super().__init__()
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = xxhash.xxh64_intdigest(word, self.seed)
+        return value
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known, out = self.known, []
-        if len(known) > _CACHED_WORDS:
-            known.clear()
-        digest, seed = xxhash.xxh64_intdigest, self.seed
-        for word in words:
-            value = known.get(word)
-            if value is None:
-                value = known[word] = digest(word, seed)
-            out.append(value)
-        return np.array(out, dtype=np.uint64)
+        if len(self) > _CACHED_WORDS:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ least. Anchors are about a tenth as many as windows.
 1. Each task counts its anchors in count-min cells; the sketches of all tasks are merged. A cell
    only tells never, once, or more often, in two bits. A sketch overestimates, never under.
 2. A second pass emits the windows whose anchor is estimated to repeat, and groups them exactly
-   by 128-bit hashes. Windows of which there are two or more are repeated.
+   by 96-bit hashes. Windows of which there are two or more are repeated.
 3. Each document's repeated windows come back to it, and the words they cover are removed.
 
 The sketch is sized from the number of words, up to ``MAX_WIDTH_BITS``; beyond that it lets more
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotflow.llm.common import WordHashes, map_batches, mix, run_hashes, stash, words_of
+from depotflow.llm.common import WordHashes, map_batches, mix, run_hashes, words_of
 
 DEPTH = 3
 MIN_WIDTH_BITS, MAX_WIDTH_BITS = 16, 27
@@ -131,8 +131,13 @@ def _maybe_repeated(rows: list[np.ndarray], bits: int, keys: np.ndarray) -> np.n
 
 
 def repeated_windows(docs: DataFrame, length: int, width_bits: int | None = None) -> DataFrame:
-    """(doc_id, digest, starts) of documents with repeated windows; ``digest`` tells apart texts
-    that share an id. Equal rows have equal starts."""
+    """(key, starts) of rows with repeated windows; ``key`` hashes the id and the text, so rows
+    that share an id are told apart, and ``starts`` is a list of packed 32-bit places.
+
+    Windows that occur twice within one batch of rows are known to repeat there and then; of
+    each such window one row goes on, however often it occurs, so that a passage that a third
+    of all rows share is met as often as there are batches and not as there are rows.
+    """
     spark = docs.sparkSession
     named = docs.select(F.col("doc_id").cast("bigint"), "text")
     bits = width_bits
@@ -141,54 +146,93 @@ def repeated_windows(docs: DataFrame, length: int, width_bits: int | None = None
         anchors = letters / 6 * 2 / (length - length // 2 + 1)
         bits = int(np.clip(np.ceil(np.log2(max(1.0, 2 * anchors))), MIN_WIDTH_BITS, MAX_WIDTH_BITS))
     sketch = spark.sparkContext.broadcast(_sketch(named, length, bits))
+    schema = "h1 bigint, h2 int, key bigint, starts binary"
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         windows, rows = Windows(length), sketch.value
-        second = np.uint64(0xC2B2AE3D27D4EB4F)
+
+        def candidates(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+            words = words_of(text)
+            if len(words) < length:
+                return None
+            hashed = windows.hashes(words)
+            keys, where = windows.anchors(hashed)
+            change = np.concatenate(([True], where[1:] != where[:-1]))
+            at = np.flatnonzero(_maybe_repeated(rows, bits, keys[change])[np.cumsum(change) - 1])
+            if not len(at):
+                return None
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashed)))
+            other = (mix(sums[at + length] - sums[at]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            return at.astype(np.int32), run_hashes(hashed, length)[at].view(np.int64), other
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids, digests, starts, first, other = [], [], [], [], []
-            empty = np.empty(0, np.int64)
-            pairs = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
-            for doc_id, digest, text in pairs:
-                words = words_of(text)
-                if len(words) < length:
-                    continue
-                hashed = windows.hashes(words)
-                keys, where = windows.anchors(hashed)
-                change = np.concatenate(([True], where[1:] != where[:-1]))
-                hit = _maybe_repeated(rows, bits, keys[change])[np.cumsum(change) - 1]
-                at = np.flatnonzero(hit)
-                if not len(at):
-                    continue
-                starts.append(at)
-                first.append(run_hashes(hashed, length)[at].view(np.int64))
-                other.append(run_hashes(mix(hashed ^ second), length)[at].view(np.int64))
-                ids.append((doc_id, digest, len(at)))
-            counts = np.array([n for _, _, n in ids], np.int64)
-            which = pa.array(np.repeat(np.arange(len(ids)), counts))
+            keys, found = [], []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                got = candidates(text)
+                if got is not None:
+                    keys.append(key)
+                    found.append(got)
+            if not found:
+                return None
+            doc = np.repeat(np.arange(len(found)), [len(at) for at, _, _ in found])
+            start, h1, h2 = (np.concatenate(part) for part in zip(*found, strict=True))
+            order = np.lexsort((h2, h1))
+            doc, start, h1, h2 = doc[order], start[order], h1[order], h2[order]
+            same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
+            twice = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+            first = np.concatenate(([True], ~same))
+            single, stands = ~twice, twice & first
+            own = np.lexsort((start[twice], doc[twice]))
+            own_doc, own_start = doc[twice][own], start[twice][own]
+            edge = np.flatnonzero(np.diff(own_doc, prepend=-1))
+            own_keys = [keys[d] for d in own_doc[edge].tolist()]
+            own_packed = [part.tobytes() for part in np.split(own_start, edge[1:])] if len(edge) else []
+            places = start[single].astype("<i4").tobytes()
+            packed = [places[i : i + 4] for i in range(0, len(places), 4)]
+            named_keys = np.array(keys, np.int64)[doc[single]]
+            none = int(stands.sum())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([i for i, _, _ in ids], pa.int64()).take(which),
-                    pa.array([d for _, d, _ in ids], pa.int64()).take(which),
-                    pa.array(np.concatenate([empty, *starts]).astype(np.int32), pa.int32()),
-                    pa.array(np.concatenate([empty, *first]), pa.int64()),
-                    pa.array(np.concatenate([empty, *other]), pa.int64()),
+                    pa.concat_arrays([pa.array(h1[single]), pa.array(h1[stands]), pa.array(own_keys, pa.int64())]),
+                    pa.concat_arrays([pa.array(h2[single]), pa.array(h2[stands]), pa.nulls(len(edge), pa.int32())]),
+                    pa.concat_arrays([pa.array(named_keys), pa.nulls(none, pa.int64()), pa.array(own_keys, pa.int64())]),
+                    pa.array([*packed, *[None] * none, *own_packed], pa.binary()),
                 ],
-                ["doc_id", "digest", "start", "h1", "h2"],
+                ["h1", "h2", "key", "starts"],
             )
 
         return step
 
-    schema = "doc_id bigint, digest bigint, start int, h1 bigint, h2 bigint"
-    hashed = named.select("doc_id", F.xxhash64("text").alias("digest"), "text")
-    candidates = stash(map_batches(hashed, make, schema), "windows")
-    repeated = candidates.groupBy("h1", "h2").count().filter("count > 1").select("h1", "h2")
-    return (
-        candidates.join(repeated, ["h1", "h2"])
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_set("start").alias("starts"))
-    )
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of windows that another row has as well, and rows that are known to repeat."""
+        held: pa.Table | None = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            yield from _met(rows.slice(0, rows.num_rows - 1), rows)
+            # the last row waits for its successor, with its predecessor to compare with
+            held = rows.slice(max(0, rows.num_rows - 2))
+            if rows.num_rows > 1:
+                held = held.set_column(2, "key", pa.chunked_array([pa.array([None, held.column(2)[1].as_py()], pa.int64())]))
+        if held is not None:
+            yield from _met(held, held)
+
+    found = map_batches(named.select(F.xxhash64("doc_id", "text").alias("key"), "text"), make, schema)
+    met = found.repartition("h1", "h2").sortWithinPartitions("h1", "h2").mapInArrow(meet, "key bigint, starts binary")
+    return met.groupBy("key").agg(F.collect_list("starts").alias("starts"))
+
+
+def _met(rows: pa.Table, within: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Of the first rows of a sorted table those that repeat; rows without a key only stand for
+    a window that others have."""
+    count = rows.num_rows
+    h1 = within.column(0).to_numpy()
+    known = within.column(1).is_null().to_numpy()
+    h2 = within.column(1).fill_null(0).to_numpy()
+    same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1]) & ~known[1:] & ~known[:-1]
+    twice = np.concatenate(([False], same)) | np.concatenate((same, [False])) | known
+    keep = twice[:count] & rows.column(2).is_valid().to_numpy()
+    if keep.any():
+        yield from rows.select([2, 3]).filter(pa.array(keep)).combine_chunks().to_batches()
 
 
 def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None) -> DataFrame:
@@ -200,12 +244,11 @@ def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None)
     removed; a text without repeats stays as it is. A NULL text has no words and stays NULL.
     """
     starts = repeated_windows(docs, length, width_bits).select(
-        F.col("doc_id").alias("__id__"), F.col("digest").alias("__digest__"), F.col("starts").alias("__starts__")
+        F.col("key").alias("__key__"), F.col("starts").alias("__starts__")
     )
-    digest = F.xxhash64("text")
-    joined = docs.join(
-        starts, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id__")) & (digest == F.col("__digest__")), "left"
-    ).drop("__id__", "__digest__")
+    key = F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+    joined = docs.withColumn("__own__", key).join(starts, F.col("__own__") == F.col("__key__"), "left")
+    joined = joined.select(*docs.columns, "__starts__")
     names = joined.columns
     out_names = [n for n in names if n != "__starts__"] + ["n_words", "n_removed"]
 
@@ -222,7 +265,7 @@ def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None)
                     texts.append(text)
                     continue
                 edges = np.zeros(len(words) + 1, np.int64)
-                at = starts.values.to_numpy()
+                at = np.frombuffer(b"".join(starts.as_py()), "<i4")
                 np.add.at(edges, at, 1)
                 np.add.at(edges, at + length, -1)
                 keep = np.cumsum(edges[:-1]) == 0
