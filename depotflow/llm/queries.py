@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import langid, ordinal, simhash, substrings, subwords
+from depotflow.llm import langid, mixing, ordinal, simhash, spotsigs, substrings, subwords
 from depotflow.llm.common import held_out, table
 
 
@@ -45,6 +45,16 @@ FROM words w LEFT JOIN kept k ON w.rid = k.rid
 """
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spot-signature fingerprints of all documents and of their edited texts."""
+    return spotsigs.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of all documents that bring the soft domains of the labels to their target weights."""
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose fold is not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +76,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": op1_fingerprints,
+        "op8_mixing": op8_mixing,
         "op4_language": op4_language,
         "op5_quality": op5_quality,
         "op9_toxicity": op9_toxicity,

@@ -1,6 +1,8 @@
 """Text quality by supervised subword embeddings.
 
-Words (between white space, as they are) and runs of 3 to 5 bytes are hashed to learned vectors.
+Words (between white space, as they are), pairs of neighbouring words and runs of 3 to 5 bytes are
+hashed to learned vectors. Pairs are hashed by their difference, so that any word that stands
+twice in a row is one and the same feature.
 A document's vector is the mean over all its words and runs, and a linear layer with softmax
 gives the chance of each class. Vectors and layer are trained together by stochastic gradient
 descent in numpy, on a bounded sample of labelled documents.
@@ -32,14 +34,16 @@ _SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
 
 
 def hashed_subwords(text: str | None) -> np.ndarray:
-    """The hash of every word and run of a text, repeats included."""
+    """The hash of every word, pair and run of a text, repeats included."""
     data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
     if not len(data):
         return np.empty(0, np.int64)
     shift = np.uint64(64 - HASH_BITS)
     edges = np.diff((~_SPACES[data]).astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-    found = [(segment_hashes(data, starts, ends) >> shift).astype(np.int64)]
+    words = segment_hashes(data, starts, ends)
+    pairs = (words[1:] - words[:-1]) * np.uint64(0xC2B2AE3D27D4EB4F)
+    found = [(words >> shift).astype(np.int64), (pairs >> shift).astype(np.int64)]
     wide = data.astype(np.uint32)
     run = wide
     for size in range(2, RUNS[-1] + 1):
