@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import langid, mixing, ordinal, simhash, spotsigs, substrings, subwords
+from depotflow.llm import langid, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
 from depotflow.llm.common import held_out, table
 
 
@@ -55,6 +55,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return sitetree.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose fold is not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -77,6 +82,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op3_main_text": op3_main_text,
         "op8_mixing": op8_mixing,
         "op4_language": op4_language,
         "op5_quality": op5_quality,
