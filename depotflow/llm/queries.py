@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import langid, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
+from depotflow.llm import langid, language_model, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
 from depotflow.llm.common import held_out, table
 
 
@@ -60,6 +60,11 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sitetree.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents under a model of those that are not held out."""
+    return language_model.language_model_scores(table(spark, sf_dir, "documents"), held_out(10, 0))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those whose fold is not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -82,6 +87,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
+        "op2_language_model": op2_language_model,
         "op3_main_text": op3_main_text,
         "op8_mixing": op8_mixing,
         "op4_language": op4_language,
