@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import langid, language_model, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
+from depotflow.llm import langid, language_model, latent, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
 from depotflow.llm.common import held_out, table
 
 
@@ -84,6 +84,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.severities(docs, ordinal.fit_ordinal(docs, table(spark, sf_dir, "labels")))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents contain, verbatim or paraphrased."""
+    return latent.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -93,7 +98,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_language": op4_language,
         "op5_quality": op5_quality,
         "op9_toxicity": op9_toxicity,
-        "op6_simhash": op6_simhash, "op7_substrings": op7_substrings,
+        "op6_simhash": op6_simhash,
+        "op7_substrings": op7_substrings,
+        "op10_decontamination": op10_decontamination,
     }
 
 

@@ -236,8 +236,8 @@ def _met(rows: pa.Table, within: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None) -> DataFrame:
-    """All columns of the documents with ``text`` replaced by its kept words, plus ``n_words`` and
-    ``n_removed``.
+    """All columns of the documents with ``text`` replaced by its kept words, plus ``__words__`` and
+    ``__removed__``, the numbers of words and of removed words.
 
     Every word covered by a window of ``length`` words whose word sequence also starts anywhere
     else goes, same document included. Kept words are joined by one space where something was
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None)
     joined = docs.withColumn("__own__", key).join(starts, F.col("__own__") == F.col("__key__"), "left")
     joined = joined.select(*docs.columns, "__starts__")
     names = joined.columns
-    out_names = [n for n in names if n != "__starts__"] + ["n_words", "n_removed"]
+    out_names = [n for n in names if n != "__starts__"] + ["__words__", "__removed__"]
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         text_at, starts_at = names.index("text"), names.index("__starts__")
@@ -280,7 +280,7 @@ def remove_repeats(docs: DataFrame, length: int, width_bits: int | None = None)
         return step
 
     fields = [f for f in joined.schema.fields if f.name != "__starts__"]
-    schema = type(joined.schema)(fields).add("n_words", "long").add("n_removed", "long")
+    schema = type(joined.schema)(fields).add("__words__", "long").add("__removed__", "long")
     return map_batches(joined, make, schema)
 
 
@@ -289,4 +289,5 @@ def substring_digests(docs: DataFrame, length: int = 35) -> DataFrame:
     cleaned = remove_repeats(docs.select(F.col("doc_id").cast("bigint"), "text"), length)
     spaces = r"[\x20\x09-\x0D]+"
     kept = F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), spaces, " "), "^ | $", "")
-    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+    counts = F.col("__words__").alias("n_words"), F.col("__removed__").alias("n_removed")
+    return cleaned.select("doc_id", *counts, F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
