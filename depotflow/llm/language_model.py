@@ -80,7 +80,7 @@ class _Block:
         out = []
         for kind, keys, counts in ((1, self.words, self.word_counts), (2, self.pairs, self.pair_counts)):
             shard = (mix(keys) % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
+            order = np.lexsort((keys, shard))  # the same whatever the order of the documents
             out.append((kind, keys[order], counts[order], order, np.searchsorted(shard[order], np.arange(shards + 1))))
         return out
 
