@@ -25,9 +25,9 @@ from depotflow.llm.textarrays import code_points, labelled_sample, letter_runs,
 
 GRADES = 4
 #: The model is fitted on at most so many labelled documents of each class.
-SAMPLE_PER_CLASS = 3000
+SAMPLE_PER_CLASS = 2000
 FEATURES = 8192
-HASH_BITS = 22
+HASH_BITS = 20
 #: Standard errors by which the classes must differ in a feature for it to count.
 LEAST_Z = 5.0
 PREFIXES = (4, 5, 6, 7)
@@ -161,7 +161,7 @@ def severities(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     A NULL or empty text, or one without letters, has the severity of no features.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 16 MB, whatever the data
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 MB, whatever the data
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         fitted = shared.value
