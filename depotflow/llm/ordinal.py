@@ -67,13 +67,11 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -60, 60)))
 
 
-def _fit(index: np.ndarray, owner: np.ndarray, value: np.ndarray, grades: np.ndarray, width: int, classes: int, w: np.ndarray, rounds: int = 150) -> tuple[np.ndarray, np.ndarray]:
+def _fit(index: np.ndarray, owner: np.ndarray, value: np.ndarray, grades: np.ndarray, per_doc: np.ndarray, width: int, classes: int, w: np.ndarray, rounds: int = 200) -> tuple[np.ndarray, np.ndarray]:
     """Adaptive gradient ascent of the mean log-likelihood."""
     docs = len(grades)
-    share = np.array([(grades > k).mean() for k in range(classes - 1)]).clip(1e-3, 1 - 1e-3)
+    share = np.array([np.average(grades > k, weights=per_doc) for k in range(classes - 1)]).clip(1e-3, 1 - 1e-3)
     t = np.sort(np.log((1 - share) / share))
-    weight = docs / (classes * np.bincount(grades, minlength=classes).clip(1))
-    per_doc = np.minimum(weight, 50.0)[grades]
     seen_w, seen_t = np.full(width, 1e-8), np.full(classes - 1, 1e-8)
     for _ in range(rounds):
         s = np.bincount(owner, weights=w[index] * value, minlength=docs)
@@ -132,12 +130,16 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_
     place[chosen] = np.arange(len(chosen))
     keep = place[index] >= 0
     index, owner, value = place[index[keep]], owner[keep], value[keep]
-    w, _ = _fit(index, owner, value, target, len(chosen), 2, np.zeros(len(chosen)))
+    # the sample has as many documents of either class as it can; they weigh what they stand for
+    known = {int(r[0]): r[1] for r in labels.filter(F.col(column).isin(0, 1)).groupBy(F.col(column).cast("int")).count().collect()}
+    stands = np.array([known.get(c, 1) / max(1, (target == c).sum()) for c in (0, 1)])
+    per_doc = stands[target] / stands[target].mean()
+    w, _ = _fit(index, owner, value, target, per_doc, len(chosen), 2, np.zeros(len(chosen)))
     scores = np.bincount(owner, weights=w[index] * value, minlength=len(target))
     toxic = target == 1
     cuts = np.quantile(scores[toxic], [1 / 3, 2 / 3])
     grades = np.where(toxic, 1 + np.searchsorted(cuts, scores, side="right"), 0)
-    w, t = _fit(index, owner, value, grades, len(chosen), GRADES, w)
+    w, t = _fit(index, owner, value, grades, per_doc, len(chosen), GRADES, w)
     weights = np.zeros(1 << HASH_BITS, np.float32)
     weights[chosen] = w
     return OrdinalModel(weights, t)
