@@ -16,6 +16,7 @@ Words and bigrams are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Callable
 
 import numpy as np
@@ -79,8 +80,8 @@ class _Block:
         order, and the first entry of each shard."""
         out = []
         for kind, keys, counts in ((1, self.words, self.word_counts), (2, self.pairs, self.pair_counts)):
-            shard = (mix(keys) % np.uint64(shards)).astype(np.int64)
-            order = np.lexsort((keys, shard))  # the same whatever the order of the documents
+            order = np.argsort(keys)  # the same whatever the order of the documents
+            shard = np.minimum((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32), np.uint64(shards - 1)).astype(np.int64)
             out.append((kind, keys[order], counts[order], order, np.searchsorted(shard[order], np.arange(shards + 1))))
         return out
 
@@ -101,7 +102,7 @@ def _counted(dealt: DataFrame, shards: int) -> DataFrame:
             for shard in range(shards):
                 a, b = starts[shard], starts[shard + 1]
                 if b > a:
-                    rows.append((shard, block, kind, keys[a:b].tobytes(), counts[a:b].astype(np.uint32).tobytes()))
+                    rows.append((shard, block, kind, _pack(np.diff(keys[a:b], prepend=np.uint64(0))), _pack(counts[a:b].astype(np.uint32))))
         types = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         names = ["shard", "block", "kind", "keys", "counts"]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -116,8 +117,8 @@ def _counted(dealt: DataFrame, shards: int) -> DataFrame:
             if not len(mine):
                 continue
             rows = table.take(pa.array(mine))
-            keys = [np.frombuffer(x, np.uint64) for x in rows.column("keys").to_pylist()]
-            counts = [np.frombuffer(x, np.uint32) for x in rows.column("counts").to_pylist()]
+            keys = [np.cumsum(_unpack(x, np.uint64), dtype=np.uint64) for x in rows.column("keys").to_pylist()]
+            counts = [_unpack(x, np.uint32) for x in rows.column("counts").to_pylist()]
             distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
             total = np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)
             if kind == 1:
@@ -126,7 +127,7 @@ def _counted(dealt: DataFrame, shards: int) -> DataFrame:
             parts = np.split(total[inverse].astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
             blocks += rows.column("block").to_pylist()
             kinds += [kind] * len(mine)
-            totals += [p.tobytes() for p in parts]
+            totals += [_pack(p) for p in parts]
         return pa.table(
             [
                 pa.array(blocks, pa.int32()),
@@ -146,7 +147,7 @@ def _counted(dealt: DataFrame, shards: int) -> DataFrame:
         answers = right.sort_by([("kind", "ascending"), ("shard", "ascending")])
         kinds, packed = answers.column("kind").to_numpy(), answers.column("totals").to_pylist()
         for kind, keys, _, order, _ in block.entries(shards):
-            found = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(kinds == kind)), np.uint32)
+            found = np.concatenate([_unpack(packed[i], np.uint32) for i in np.flatnonzero(kinds == kind)] or [np.empty(0, np.uint32)])
             total = np.empty(len(keys), np.int64)
             total[order] = found
             totals.append(total)
@@ -170,6 +171,17 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, which compress well: most high bytes are zero."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zlib.compress(planes.tobytes(), 1)
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(size, -1).T.copy().view(kind).reshape(-1)
+
+
 def _planes(c2: np.ndarray, context: np.ndarray, c1: np.ndarray) -> bytes:
     """Counts by byte planes, which compress well. The context of the first token is the start;
     that of any other is the token before."""
