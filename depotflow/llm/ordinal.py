@@ -25,7 +25,7 @@ from depotflow.llm.textarrays import code_points, labelled_sample, letter_runs,
 
 GRADES = 4
 #: The model is fitted on at most so many labelled documents of each class.
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1200
 FEATURES = 8192
 HASH_BITS = 20
 #: Standard errors by which the classes must differ in a feature for it to count.
@@ -122,8 +122,8 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_
     if len(np.unique(target)) < 2:
         return none
     features = [np.frombuffer(x, np.int32) for x in rows.column(1).to_pylist()]
-    value = np.concatenate([np.frombuffer(x, np.float32) for x in rows.column(2).to_pylist()]).astype(np.float64)
-    owner = np.repeat(np.arange(len(target)), [len(f) for f in features])
+    value = np.concatenate([np.frombuffer(x, np.float32) for x in rows.column(2).to_pylist()])
+    owner = np.repeat(np.arange(len(target), dtype=np.int32), [len(f) for f in features])
     index = np.concatenate(features)
     chosen = _informative(index, owner, target)
     place = np.full(1 << HASH_BITS, -1, np.int64)
