@@ -164,6 +164,8 @@ def language_spans(docs: DataFrame, model: LanguageModel) -> DataFrame:
             texts, ids, out = batch.column(1).to_pylist(), batch.column(0).to_pylist(), []
             for part in slices([len(t or "") for t in texts], 1_000_000):
                 owner, starts, ends, path, _ = fitted.label([texts[i] for i in part])
+                if not len(owner):
+                    continue
                 new = np.flatnonzero(np.diff(owner, prepend=-1) | np.diff(path, prepend=-1))
                 last = np.concatenate((new[1:], [len(owner)])) - 1
                 span = 0

@@ -151,7 +151,7 @@ def similar_pairs(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     one = sets.select(F.col("class").alias("left_class"), F.col("spots").alias("ls"))
     two = sets.select(F.col("class").alias("right_class"), F.col("spots").alias("rs"))
     alike = met.join(one, "left_class").join(two, "right_class").withColumn("similarity", likeness(F.col("ls"), F.col("rs")))
-    return alike.filter(F.col("similarity") >= similarity).drop("ls", "rs")
+    return alike.filter(F.col("similarity") >= similarity).select("left_class", "right_class", "similarity")
 
 
 def fingerprint_classes(docs: DataFrame) -> DataFrame:
