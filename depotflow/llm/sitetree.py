@@ -28,6 +28,9 @@ from depotflow.llm.common import map_batches
 #: content against presentation.
 LEAST_PAGES, LEAST_IMPORTANCE, CONTENT_WEIGHT = 8, 0.35, 0.9
 
+#: Parts into which the pages of every host are dealt for the join with its list of nodes.
+HOST_PARTS = 64
+
 # --- fixed values
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -220,7 +223,11 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     low = node_importance(rows).filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
     lists = low.groupBy("host").agg(F.collect_list("node").alias("unimportant"))
-    joined = rows.join(lists, "host", "left").select("page_id", "url", "html", "unimportant")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(HOST_PARTS)).cast("int"))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(HOST_PARTS - 1)))
+    joined = salted.join(lists.withColumn("salt", parts), ["host", "salt"], "left").select(
+        "page_id", "url", "html", "unimportant"
+    )
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
