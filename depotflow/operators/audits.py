@@ -58,11 +58,13 @@ def order_totals(order_items: DataFrame) -> DataFrame:
 
 
 def order_value_deviations(orders: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Orders with items whose stored value is not the sum of their lines."""
+    """Orders whose stored value is not the sum of their lines; an order without lines is worth zero."""
+    total = F.coalesce("items_total", F.lit(0).cast("decimal(14,2)"))
     return (
         orders.select("order_id", "order_value")
-        .join(order_totals(order_items), "order_id")
-        .filter(F.col("order_value") != F.col("items_total"))
+        .join(order_totals(order_items), "order_id", "left")
+        .withColumn("items_total", total)
+        .filter(~F.col("order_value").eqNullSafe(F.col("items_total")))
     )
 
 
@@ -75,14 +77,14 @@ def expected_refund(total: Column, purchased: Column, returned: Column) -> Colum
 
 
 def refund_deviations(returns: DataFrame, order_items: DataFrame) -> DataFrame:
-    """Returns whose refund is not the returned share of the line total."""
+    """Returns whose refund is not the returned share of the line total, or that have no line."""
     lines = order_items.select("order_item_id", "quantity", "total_amount")
     expected = expected_refund(F.col("total_amount"), F.col("quantity"), F.col("return_quantity"))
     return (
         returns.select("return_id", "order_item_id", "return_quantity", "refund_amount")
-        .join(lines, "order_item_id")
+        .join(lines, "order_item_id", "left")
         .withColumn("expected_refund", expected)
-        .filter(F.col("refund_amount") != F.col("expected_refund"))
+        .filter(~F.col("refund_amount").eqNullSafe(F.col("expected_refund")))
         .select("return_id", "order_item_id", "return_quantity", "refund_amount", "expected_refund")
     )
 
@@ -259,7 +261,10 @@ def receipt_deviations(purchase_orders: DataFrame, purchase_order_items: DataFra
 def cost_band_deviations(
     purchase_order_items: DataFrame, purchase_orders: DataFrame, products: DataFrame, suppliers: DataFrame
 ) -> DataFrame:
-    """Purchase lines whose unit cost lies outside the band around the product cost."""
+    """Purchase lines whose unit cost lies outside the band around the product cost.
+
+    Lines whose order, product or supplier is unknown have no band and are reported too.
+    """
     rating = F.coalesce(F.nullif(F.col("rating"), F.lit(0).cast("decimal(3,2)")), F.lit(DEFAULT_RATING))
     sources = purchase_orders.select("po_id", "supplier_id").join(
         suppliers.select(
@@ -267,14 +272,15 @@ def cost_band_deviations(
             (F.lit(COST_BASE) - rating * F.lit(COST_PER_RATING_POINT)).cast("decimal(6,4)").alias("cost_factor"),
         ),
         "supplier_id",
+        "left",
     )
     costs = products.select("product_id", F.col("unit_cost").alias("product_cost"))
     distance = F.abs(F.col("unit_cost") - F.col("product_cost") * F.col("cost_factor"))
     return (
         purchase_order_items.select("po_item_id", "po_id", "product_id", "unit_cost")
-        .join(sources, "po_id")
-        .join(costs, "product_id")
-        .filter(distance > F.col("product_cost") * F.lit(COST_TOLERANCE) + F.lit(MONEY_ROUNDING))
+        .join(sources, "po_id", "left")
+        .join(costs, "product_id", "left")
+        .filter(F.coalesce(distance > F.col("product_cost") * F.lit(COST_TOLERANCE) + F.lit(MONEY_ROUNDING), F.lit(True)))
         .select("po_item_id", "po_id", "product_id", "supplier_id", "unit_cost", "product_cost", "cost_factor")
     )
 

@@ -5,9 +5,11 @@ Each rule is declared once; the gates, the audits and the run all read the same
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from depotflow.model import (
     CONTRACTS,
@@ -51,7 +53,7 @@ REQUIRED_MOVEMENT_FIELDS = (
 def require_tables(relations: Relations, required: tuple[str, ...] = tuple(TABLES)) -> None:
     missing = relations.missing(required)
     if missing:
-        raise RuntimeError("Required source tables are missing: " + ", ".join(missing))
+        raise RuntimeError("The source lacks tables: " + ", ".join(missing))
 
 
 def source_counts(relations: Relations) -> DataFrame:
@@ -187,19 +189,14 @@ def required_values(relations: Relations) -> DataFrame:
 
 def require_contract(frame: DataFrame, contract: Contract) -> None:
     """Fail unless columns and types are exactly those of the contract, in any order."""
-    actual: dict[str, T.DataType] = {field.name: field.dataType for field in frame.schema.fields}
-    expected = {field.name: field.dataType for field in contract.schema.fields}
-    if actual.keys() != expected.keys():
-        missing = sorted(expected.keys() - actual.keys())
-        extra = sorted(actual.keys() - expected.keys())
-        raise RuntimeError(f"{contract.name} schema mismatch; missing={missing}, extra={extra}")
-    wrong = {
-        name: f"expected {kind.simpleString()}, got {actual[name].simpleString()}"
-        for name, kind in expected.items()
-        if actual[name] != kind
-    }
-    if wrong:
-        raise RuntimeError(f"{contract.name} data type mismatch: {wrong}")
+    have, want = (
+        Counter((field.name, field.dataType.simpleString()) for field in schema.fields)
+        for schema in (frame.schema, contract.schema)
+    )
+    if have != want:
+        surplus = ", ".join(f"{name} {kind}" for name, kind in sorted((have - want).elements()))
+        lacking = ", ".join(f"{name} {kind}" for name, kind in sorted((want - have).elements()))
+        raise RuntimeError(f"{contract.name} breaks its contract: lacks ({lacking}), has besides ({surplus})")
 
 
 def require_output(frame: DataFrame, contract: Contract, rows: int) -> None:
@@ -340,13 +337,14 @@ def declared_tests(
 # --- analytical gate -------------------------------------------------------------------------------
 
 
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*")
+
+
 def require_safe_names(names: list[str]) -> None:
-    """Relation names may hold letters, digits and underscores only."""
-    if not names:
-        raise RuntimeError("No analytical outputs are configured")
-    for name in names:
-        if not name.replace("_", "").isalnum():
-            raise RuntimeError(f"Invalid analytical table name: {name}")
+    """Relation names may hold letters, digits and underscores only; there must be some."""
+    odd = [name for name in names if not _PLAIN_NAME.fullmatch(name)]
+    if odd or not names:
+        raise RuntimeError(f"Outputs to count must be given by plain names, not {odd or 'none'}")
 
 
 def analytical_counts(relations: Relations, names: list[str]) -> DataFrame:
@@ -354,5 +352,5 @@ def analytical_counts(relations: Relations, names: list[str]) -> DataFrame:
     require_safe_names(names)
     missing = relations.missing(names)
     if missing:
-        raise RuntimeError("Analytical output relations are missing: " + ", ".join(missing))
+        raise RuntimeError("Outputs to count do not exist: " + ", ".join(missing))
     return P.row_counts({name: relations[name] for name in names}, names)

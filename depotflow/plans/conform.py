@@ -7,18 +7,15 @@ that the audits have something to find.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotflow.functions import columns as X
 from depotflow.model import LEDGER_BRANCH, RETURN_REASONS, TABLES
-from depotflow.session import scratch_path
 from depotflow.sources.relations import Relations
 
 # --- fixed values -----------------------------------------------------------------------
 
-WAREHOUSES = 25
-LINES_PER_ORDER = 999
 SNAPSHOT_DATES = ("2001-11-30", "2001-12-31")
 CATEGORY_OF_TYPE = {
     "ECONOMY": (1, "Footwear"),
@@ -30,88 +27,64 @@ CATEGORY_OF_TYPE = {
 }
 CREATED_AT = "1995-01-01"
 
-# Ids for lines of orders with more lines than the id scheme has room for.
-_WIDE_BASE = 8 * 10**14
-_WIDE_BUCKETS = 4096
-_WIDE_ROOM = 48 * 10**9
+# A line's id is its bucket, of 2^24, times the room of a bucket, plus its place there.
+_BUCKET_HEX_DIGITS = 6
+_BUCKET_ROOM = 59_000_003
 
 _LINE_COLUMNS = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
     "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
-
-_wide_order_files: dict[tuple[str, str], str | None] = {}
-
+_BUCKET_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 # --- order lines --------------------------------------------------------------------------
 
 
-def numbered_lines(lineitem: DataFrame, wide_orders: DataFrame | None = None) -> DataFrame:
-    """Order lines with a unique ``line_id``.
+def numbered_lines(lineitem: DataFrame) -> DataFrame:
+    """Order lines with a unique ``line_id`` that depends on nothing but the lines themselves.
 
-    A line is numbered inside its order. Orders too wide for that are few or none; when
-    there are some, their lines are numbered inside buckets of a hash of the whole line
-    instead, so no task ever holds all lines of one order.
+    Equal lines are counted first, so that a line repeated very often is one row. Lines are
+    placed in small, even buckets by a hash of their keys and numbered there by the sum of the
+    copies before them; each copy then gets its own number. Fails if a bucket overflows.
     """
-    ordinary, wide = lineitem, None
-    if wide_orders is not None:
-        ordinary = lineitem.join(wide_orders, "l_orderkey", "left_anti")
-        wide = lineitem.join(wide_orders, "l_orderkey", "left_semi")
-    numbered = _with_position(ordinary, ["l_orderkey"], _LINE_COLUMNS).withColumn(
-        "line_id", F.col("l_orderkey") * 1000 + F.col("position")
+    distinct = lineitem.groupBy("l_orderkey", *_LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    digest = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in _BUCKET_KEYS]).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, _BUCKET_HEX_DIGITS), 16, 10).cast("bigint")
+    ahead = Window.partitionBy("bucket").orderBy("l_orderkey", *_LINE_COLUMNS)
+    through = F.sum("copies").over(ahead.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    fits = F.when(F.col("through") <= _BUCKET_ROOM, F.col("through")).otherwise(
+        F.raise_error(F.lit("More lines share a bucket than there are ids for")).cast("bigint")
+    )
+    return (
+        distinct.withColumn("bucket", bucket)
+        .withColumn("through", through)
+        .withColumn("through", fits)
+        .withColumn("position", F.explode(F.sequence(F.col("through") - F.col("copies"), F.col("through") - 1)))
+        .withColumn("line_id", F.col("bucket") * _BUCKET_ROOM + F.col("position"))
+        .drop("bucket", "through", "copies", "position")
     )
-    if wide is not None:
-        bucketed = wide.withColumn(
-            "bucket", F.pmod(F.xxhash64("l_orderkey", *_LINE_COLUMNS), F.lit(_WIDE_BUCKETS))
-        ).repartition("bucket")
-        positioned = _with_position(bucketed, ["bucket"], ["l_orderkey", *_LINE_COLUMNS])
-        numbered = numbered.unionByName(
-            positioned.withColumn(
-                "line_id",
-                F.lit(_WIDE_BASE) + F.col("bucket") * F.lit(_WIDE_ROOM) + F.col("position"),
-            ).drop("bucket")
-        )
-    return numbered.drop("position")
-
-
-def _with_position(frame: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    return frame.withColumn("position", F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-
-
-def find_wide_orders(lineitem: DataFrame, most: int = LINES_PER_ORDER) -> DataFrame:
-    """Orders with more lines than can be numbered inside the order."""
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
-    return sizes.filter(F.col("lines") > most).select("l_orderkey")
-
 
-def _wide_orders(spark: SparkSession, root: str, lineitem: DataFrame) -> DataFrame | None:
-    """The wide orders as a written table, whose true size Spark then plans with.
 
-    Looked for once per session and folder: one pass over one column, grouped map-side.
-    """
-    key = (spark.sparkContext.applicationId, root)
-    if key not in _wide_order_files:
-        found = find_wide_orders(lineitem)
-        location = None
-        if not found.isEmpty():
-            location = scratch_path(spark, "wide-orders")
-            found.write.parquet(location)
-        _wide_order_files[key] = location
-    location = _wide_order_files[key]
-    return None if location is None else spark.read.parquet(location)
+# --- the views ------------------------------------------------------------------------------
 
 
-# --- the views ------------------------------------------------------------------------------
+def _literal(value: object) -> str:
+    """A value as SQL text."""
+    return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "\\'") + "'"
 
 
-def _choice(values: dict[str, object], column: str) -> str:
-    """A CASE over a fixed mapping, NULL for any other value."""
-    arms = " ".join(f"WHEN {name!r} THEN {value!r}" for name, value in values.items())
-    return f"CASE {column} {arms} END"
+def _choice(values: dict[str, object], column: str, other: str) -> str:
+    """A CASE over a fixed mapping, with a rule for any other value."""
+    arms = " ".join(f"WHEN {_literal(name)} THEN {_literal(value)}" for name, value in values.items())
+    return f"CASE {column} {arms} ELSE {other} END"
 
 
-_CATEGORY_ID = _choice({name: number for name, (number, _) in CATEGORY_OF_TYPE.items()}, "p_type")
-_CATEGORY_NAME = _choice({name: label for name, (_, label) in CATEGORY_OF_TYPE.items()}, "p_type")
+_CATEGORY_ID = _choice(
+    {name: number for name, (number, _) in CATEGORY_OF_TYPE.items()},
+    "p_type",
+    "1000 + CAST(conv(substr(md5(CAST(p_type AS BINARY)), 1, 10), 16, 10) AS BIGINT)",
+)
+_CATEGORY_NAME = _choice({name: label for name, (_, label) in CATEGORY_OF_TYPE.items()}, "p_type", "p_type")
 _RATING = "CAST((200 + ({key} * 37) % 301) / CAST(100 AS DECIMAL(3,0)) AS DECIMAL(3,2))"
 _LEAD_DAYS = "CAST(3 + {key} % 18 AS INT)"
 _PRICE = "CAST(p_retailprice AS DECIMAL(12,2))"
@@ -156,19 +129,21 @@ class _Views:
     # dimensions
 
     def categories(self) -> DataFrame:
-        """At most one row per entry of the fixed mapping, hence safe to broadcast."""
-        known = self.table("part").filter(F.col("p_type").isin(*CATEGORY_OF_TYPE)).select("p_type").distinct()
-        return F.broadcast(
-            known.selectExpr(
-                f"CAST({_CATEGORY_ID} AS BIGINT) AS category_id",
-                f"{_CATEGORY_NAME} AS category_name",
-                f"concat('Dept', ({_CATEGORY_ID}) % 3) AS department",
-            )
+        """One row per part type; types outside the fixed mapping keep their own name."""
+        known = self.table("part").filter("p_type IS NOT NULL").select("p_type").distinct()
+        return known.selectExpr(
+            f"CAST({_CATEGORY_ID} AS BIGINT) AS category_id",
+            f"{_CATEGORY_NAME} AS category_name",
+            f"concat('Dept', ({_CATEGORY_ID}) % 3) AS department",
         )
 
+    def site_count(self) -> Column:
+        """The warehouse numbers in use run from zero to one less than this."""
+        return self.table("nation").agg((F.max("n_nationkey") + 1).cast("bigint")).scalar()
+
     def places(self) -> DataFrame:
         regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
-        return self.table("nation").join(regions, "n_regionkey").selectExpr(
+        return self.table("nation").join(regions, "n_regionkey", "left").selectExpr(
             "CAST(n_nationkey AS BIGINT) AS place_id", "n_name AS place_name", "r_name AS place_state"
         )
 
@@ -204,7 +179,7 @@ class _Views:
 
     def customers(self) -> DataFrame:
         located = self.table("customer").selectExpr("c_custkey", "CAST(c_nationkey AS BIGINT) AS place_id")
-        return located.join(self.view("places"), "place_id").selectExpr(
+        return located.join(self.view("places"), "place_id", "left").selectExpr(
             "c_custkey AS customer_id",
             "CASE WHEN c_custkey % 20 = 0 THEN 'VIP' WHEN c_custkey % 20 <= 5 THEN 'Premium'"
             " ELSE 'Regular' END AS customer_segment",
@@ -249,7 +224,7 @@ class _Views:
         it, and Spark sees one and the same shuffle to reuse.
         """
         lineitem = self.table("lineitem").filter("l_orderkey IS NOT NULL")
-        return numbered_lines(lineitem, _wide_orders(self.spark, self.root, lineitem))
+        return numbered_lines(lineitem)
 
     def sold_lines(self) -> DataFrame:
         """Order lines without prices, for uses that need no join with the products."""
@@ -264,7 +239,7 @@ class _Views:
 
     def priced_lines(self) -> DataFrame:
         prices = self.table("part").selectExpr("p_partkey AS product_id", f"{_PRICE} AS unit_price")
-        return self.view("sold_lines").join(prices, "product_id")
+        return self.view("sold_lines").join(prices, "product_id", "left")
 
     def valued_lines(self) -> DataFrame:
         return self.view("priced_lines").withColumn(
@@ -282,7 +257,7 @@ class _Views:
             "customer_id AS o_custkey", "place_id", "city AS place_name", "state AS place_state"
         )
         actual = _after("o_orderdate", "2 + (o_orderkey * 7) % 8", "o_orderkey % 24")
-        return self.table("orders").join(buyers, "o_custkey").selectExpr(
+        return self.table("orders").join(buyers, "o_custkey", "left").selectExpr(
             "o_orderkey AS order_id",
             "o_custkey AS customer_id",
             "CASE WHEN o_orderkey % 61 <> 0 THEN place_id END AS warehouse_id",
@@ -334,7 +309,7 @@ class _Views:
         delivered = self.view("order_heads").filter("order_status = 'DELIVERED'").select(
             "order_id", "actual_delivery_date"
         )
-        reasons = ", ".join(repr(reason) for reason in RETURN_REASONS)
+        reasons = ", ".join(map(_literal, RETURN_REASONS))
         return lines.filter("l_returnflag = 'R'").join(delivered, "order_id").selectExpr(
             "*",
             "order_item_id AS return_id",
@@ -377,10 +352,11 @@ class _Views:
                 "CAST(date_trunc('month', l_shipdate) AS TIMESTAMP_NTZ) AS po_date",
             )
             .distinct()
+            .withColumn("sites", self.site_count())
             .selectExpr(
                 "po_id",
                 "supplier_id",
-                f"supplier_id % {WAREHOUSES} AS warehouse_id",
+                "supplier_id % sites AS warehouse_id",
                 "po_date",
                 f"{_after('po_date', lead)} AS expected_delivery_date",
                 f"CASE WHEN po_id % 10 <> 0 THEN {_after('po_date', f'{lead} + po_id % 6 - 2')} END"
@@ -411,7 +387,7 @@ class _Views:
         costs = self.table("part").selectExpr("p_partkey AS product_id", f"{_COST} AS product_cost")
         factor = f"(1.06 - 0.01 * {_RATING.format(key='l_suppkey')})"
         surcharge = "CASE WHEN po_item_id % 197 = 0 THEN 1.10 ELSE 1.00 END"
-        return self.view("po_line_facts").join(costs, "product_id").selectExpr(
+        return self.view("po_line_facts").join(costs, "product_id", "left").selectExpr(
             "po_item_id",
             "po_id",
             "product_id",
@@ -466,9 +442,10 @@ class _Views:
             .selectExpr("*", f"CASE WHEN l_suppkey % 20 <> 7 THEN {_received('units + 4', k)} END AS received")
             .selectExpr("*", f"explode(array({branches})) AS branch")
             .filter("branch IS NOT NULL")
+            .withColumn("sites", self.site_count())
             .selectExpr(
                 f"branch * {LEDGER_BRANCH} + {k} AS movement_id",
-                f"CASE branch WHEN 1 THEN l_suppkey % {WAREHOUSES} WHEN 5 THEN (warehouse_id + 1) % {WAREHOUSES}"
+                "CASE branch WHEN 1 THEN l_suppkey % sites WHEN 5 THEN (warehouse_id + 1) % sites"
                 " ELSE warehouse_id END AS warehouse_id",
                 "l_partkey AS product_id",
                 "CASE branch WHEN 1 THEN 'PURCHASE_RECEIPT' WHEN 2 THEN 'SALE' WHEN 3 THEN 'RETURN'"
@@ -491,10 +468,11 @@ class _Views:
         return (
             self.table("part")
             .filter("p_partkey % 50 <> 0")
+            .withColumn("sites", self.site_count())
             .selectExpr(
                 "p_partkey AS p",
                 "CAST(p_size AS BIGINT) AS rp",
-                f"explode(sequence(0L, {WAREHOUSES - 1}L)) AS w",
+                "explode(sequence(0L, sites - 1)) AS w",
             )
             .filter("(w + p) % 40 <> 7")
             .join(sites, "w")

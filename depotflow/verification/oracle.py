@@ -82,67 +82,64 @@ def _movement_checks(moves: str) -> str:
     )
 
 
-def _purchase_refs(moves: str) -> str:
-    shaped = "regexp_full_match(m.reference_id, 'PO-[0-9]+-[0-9]+')"
+# What the documents say: one row for every movement they justify.
+_RECEIPTS = """SELECT 'PO-' || po_id || '-' || po_item_id AS ref, product_id, received_quantity AS units, warehouse_id
+               FROM purchase_orders JOIN purchase_order_items USING (po_id)"""
+_SALES = """SELECT 'ORD-' || order_id || '-' || order_item_id AS ref, product_id, quantity AS units, warehouse_id
+            FROM customer_orders JOIN order_items USING (order_id)"""
+_COMEBACKS = """SELECT 'RET-' || return_id AS ref, product_id, return_quantity AS units, warehouse_id
+                FROM customer_orders JOIN returns USING (order_id)"""
+
+
+def _unjustified(label: str, moves: str, kind: str, documents: str) -> str:
+    """Movements of a kind for which no document stands; unknown values speak against nothing."""
+    same = " AND ".join(
+        f"(seen.{mine} = said.{theirs}) IS NOT FALSE"
+        for mine, theirs in (("product_id", "product_id"), ("quantity", "units"), ("warehouse_id", "warehouse_id"))
+    )
     return _check(
-        "invalid purchase references",
-        f"""SELECT count(*) FROM {moves} m
-            LEFT JOIN purchase_order_items i
-              ON {shaped} AND i.po_item_id = try_cast(split_part(m.reference_id, '-', 3) AS BIGINT)
-            LEFT JOIN purchase_orders o
-              ON {shaped} AND o.po_id = try_cast(split_part(m.reference_id, '-', 2) AS BIGINT)
-            WHERE m.movement_type = 'PURCHASE_RECEIPT'
-              AND (NOT {shaped} OR i.po_id IS NULL OR o.po_id IS NULL OR i.po_id <> o.po_id
-                   OR i.product_id <> m.product_id OR i.received_quantity <> m.quantity
-                   OR o.warehouse_id <> m.warehouse_id)""",
+        label,
+        f"""SELECT count(*) FROM (SELECT * FROM {moves} WHERE movement_type = '{kind}') seen
+            ANTI JOIN ({documents}) said ON said.ref = seen.reference_id AND {same}""",
     )
 
 
+def _purchase_refs(moves: str) -> str:
+    return _unjustified("invalid purchase references", moves, "PURCHASE_RECEIPT", _RECEIPTS)
+
+
 def _sale_refs(moves: str) -> str:
-    shaped = "regexp_full_match(m.reference_id, 'ORD-[0-9]+-[0-9]+')"
-    return _check(
-        "invalid sale references",
-        f"""SELECT count(*) FROM {moves} m
-            LEFT JOIN order_items i
-              ON {shaped} AND i.order_item_id = try_cast(split_part(m.reference_id, '-', 3) AS BIGINT)
-            LEFT JOIN customer_orders o
-              ON {shaped} AND o.order_id = try_cast(split_part(m.reference_id, '-', 2) AS BIGINT)
-            WHERE m.movement_type = 'SALE'
-              AND (NOT {shaped} OR i.order_id IS NULL OR o.order_id IS NULL OR i.order_id <> o.order_id
-                   OR i.product_id <> m.product_id OR i.quantity <> m.quantity
-                   OR o.warehouse_id <> m.warehouse_id)""",
-    )
+    return _unjustified("invalid sale references", moves, "SALE", _SALES)
 
 
 def _return_refs(moves: str) -> str:
-    shaped = "regexp_full_match(m.reference_id, 'RET-[0-9]+')"
-    return _check(
-        "invalid return references",
-        f"""SELECT count(*) FROM {moves} m
-            LEFT JOIN returns r
-              ON {shaped} AND r.return_id = try_cast(split_part(m.reference_id, '-', 2) AS BIGINT)
-            LEFT JOIN customer_orders o ON o.order_id = r.order_id
-            WHERE m.movement_type = 'RETURN'
-              AND (NOT {shaped} OR r.return_id IS NULL OR o.order_id IS NULL
-                   OR r.product_id <> m.product_id OR r.return_quantity <> m.quantity
-                   OR o.warehouse_id <> m.warehouse_id)""",
+    return _unjustified("invalid return references", moves, "RETURN", _COMEBACKS)
+
+
+def _legs(moves: str, kind: str) -> str:
+    """All movements of one direction of a transfer, by reference."""
+    spans = ", ".join(
+        f"{how}({column}) AS {how}_{column}"
+        for column in ("product_id", "quantity", "warehouse_id")
+        for how in ("min", "max")
     )
+    return f"""SELECT reference_id AS ref, count(*) AS n, {spans}
+               FROM {moves} WHERE movement_type = '{kind}' GROUP BY reference_id"""
 
 
 def _unpaired(moves: str) -> str:
-    return f"""SELECT reference_id, count(*) AS legs,
-                      count(*) FILTER (WHERE movement_type = 'TRANSFER_IN') AS legs_in,
-                      count(*) FILTER (WHERE movement_type = 'TRANSFER_OUT') AS legs_out,
-                      min(product_id) AS low_product_id, max(product_id) AS high_product_id,
-                      min(quantity) AS low_quantity, max(quantity) AS high_quantity,
-                      min(warehouse_id) AS low_warehouse_id, max(warehouse_id) AS high_warehouse_id
-               FROM {moves} WHERE movement_type IN ('TRANSFER_IN', 'TRANSFER_OUT')
-               GROUP BY reference_id
-               HAVING count(*) <> 2
-                   OR count(*) FILTER (WHERE movement_type = 'TRANSFER_IN') <> 1
-                   OR count(*) FILTER (WHERE movement_type = 'TRANSFER_OUT') <> 1
-                   OR min(product_id) <> max(product_id) OR min(quantity) <> max(quantity)
-                   OR min(warehouse_id) = max(warehouse_id)"""
+    ends = ", ".join(
+        f"least(a.min_{column}, b.min_{column}) AS low_{column},"
+        f" greatest(a.max_{column}, b.max_{column}) AS high_{column}"
+        for column in ("product_id", "quantity", "warehouse_id")
+    )
+    return f"""SELECT * FROM (
+                   SELECT coalesce(a.ref, b.ref) AS reference_id, coalesce(a.n, 0) + coalesce(b.n, 0) AS legs,
+                          coalesce(b.n, 0) AS legs_in, coalesce(a.n, 0) AS legs_out, {ends}
+                   FROM ({_legs(moves, "TRANSFER_OUT")}) a
+                   FULL JOIN ({_legs(moves, "TRANSFER_IN")}) b ON a.ref IS NOT DISTINCT FROM b.ref)
+               WHERE (legs_in, legs_out) <> (1, 1) OR low_warehouse_id = high_warehouse_id
+                  OR low_product_id < high_product_id OR low_quantity < high_quantity"""
 
 
 def _transfers(moves: str) -> str:
@@ -431,15 +428,16 @@ def _bodies() -> dict[str, str]:
         "order_value_audit": """
             SELECT order_id, order_value, items_total
             FROM customer_orders
-            JOIN (SELECT order_id, sum(total_amount)::DECIMAL(14,2) AS items_total FROM order_items GROUP BY 1)
+            JOIN (SELECT o.order_id, coalesce(sum(total_amount), 0)::DECIMAL(14,2) AS items_total
+                  FROM customer_orders o LEFT JOIN order_items i ON i.order_id = o.order_id GROUP BY 1)
                  USING (order_id)
-            WHERE order_value <> items_total""",
+            WHERE order_value IS DISTINCT FROM items_total""",
         "refund_audit": """
             SELECT return_id, order_item_id, return_quantity, refund_amount, expected_refund
             FROM (SELECT r.*, ((2 * (total_amount * 100)::BIGINT * return_quantity + quantity)
                                // (2 * quantity) / 100.0)::DECIMAL(14,2) AS expected_refund
-                  FROM returns r JOIN order_items i USING (order_item_id))
-            WHERE refund_amount <> expected_refund""",
+                  FROM returns r LEFT JOIN order_items i USING (order_item_id))
+            WHERE refund_amount IS DISTINCT FROM expected_refund""",
         "returnable_items": _RETURNABLE,
         "return_risk": _RETURN_RISK,
         "stock_balance": """
@@ -491,12 +489,13 @@ def _bodies() -> dict[str, str]:
         "po_cost_band": """
             SELECT po_item_id, po_id, product_id, supplier_id, unit_cost, product_cost, cost_factor
             FROM (SELECT i.*, o.supplier_id, p.unit_cost AS product_cost,
-                         (1.06 - 0.01 * coalesce(nullif(s.rating, 0), 3))::DECIMAL(6,4) AS cost_factor
+                         CASE WHEN s.supplier_id IS NOT NULL
+                              THEN (1.06 - 0.01 * coalesce(nullif(s.rating, 0), 3))::DECIMAL(6,4) END AS cost_factor
                   FROM purchase_order_items i
-                  JOIN purchase_orders o ON o.po_id = i.po_id
-                  JOIN products p ON p.product_id = i.product_id
-                  JOIN suppliers s ON s.supplier_id = o.supplier_id)
-            WHERE abs(unit_cost - product_cost * cost_factor) > product_cost * 0.02 + 0.01""",
+                  LEFT JOIN purchase_orders o ON o.po_id = i.po_id
+                  LEFT JOIN products p ON p.product_id = i.product_id
+                  LEFT JOIN suppliers s ON s.supplier_id = o.supplier_id)
+            WHERE (abs(unit_cost - product_cost * cost_factor) <= product_cost * 0.02 + 0.01) IS NOT TRUE""",
         "supplier_tiers": """
             SELECT CASE WHEN rating >= 4.2 THEN 'GOOD' WHEN rating >= 3.2 THEN 'AVERAGE' ELSE 'PROBLEM' END AS tier,
                    count(*) AS suppliers

@@ -7,16 +7,23 @@ import re
 VIEWS: dict[str, str] = {
     "li": """
         SELECT *,
-               l_orderkey * 1000 + row_number() OVER (
-                   PARTITION BY l_orderkey
-                   ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+               bucket * 59000003 - 1 + row_number() OVER (
+                   PARTITION BY bucket
+                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                             l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS k,
                l_suppkey * 1000 + (year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS po_id
-        FROM lineitem""",
+        FROM (SELECT *, ('0x' || left(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 6))::BIGINT
+                        AS bucket
+              FROM lineitem)""",
+    "sites": """SELECT (max(n_nationkey) + 1)::BIGINT AS n FROM nation""",
     "types": """
-        SELECT * FROM (VALUES ('ECONOMY', 1, 'Footwear'), ('LARGE', 2, 'Beauty'), ('MEDIUM', 3, 'Cameras'),
-                              ('PROMO', 4, 'Audio'), ('SMALL', 5, 'Furniture'), ('STANDARD', 6, 'Beverages'))
-        AS t(type_name, type_id, label)""",
+        SELECT DISTINCT p_type AS type_name, coalesce(label, p_type) AS label,
+               coalesce(number, 1000 + ('0x' || left(md5(p_type), 10))::BIGINT) AS type_id
+        FROM part
+        LEFT JOIN (VALUES ('ECONOMY', 1, 'Footwear'), ('LARGE', 2, 'Beauty'), ('MEDIUM', 3, 'Cameras'),
+                          ('PROMO', 4, 'Audio'), ('SMALL', 5, 'Furniture'), ('STANDARD', 6, 'Beverages'))
+                  AS fixed(name, number, label) ON name = p_type
+        WHERE p_type IS NOT NULL""",
     "categories": """
         SELECT DISTINCT type_id::BIGINT AS category_id, label AS category_name,
                'Dept' || (type_id % 3)::VARCHAR AS department
@@ -27,7 +34,7 @@ VIEWS: dict[str, str] = {
                (100000 + 1000 * n_nationkey)::BIGINT AS capacity_units,
                (40000 + 100 * n_nationkey)::DECIMAL(12,2) AS operating_cost_per_day,
                NULL::DECIMAL(9,6) AS latitude, NULL::DECIMAL(9,6) AS longitude, NULL::DATE AS opened_at
-        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+        FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
     "suppliers": """
         SELECT s_suppkey AS supplier_id, s_name AS supplier_name, 'Earth' AS country, NULL::VARCHAR AS state,
                NULL::VARCHAR AS city, NULL::VARCHAR AS supplier_type,
@@ -40,8 +47,8 @@ VIEWS: dict[str, str] = {
                CASE WHEN c_custkey % 20 = 0 THEN 'VIP' WHEN c_custkey % 20 <= 5 THEN 'Premium' ELSE 'Regular' END
                    AS customer_segment,
                n_name AS city, r_name AS state, 'Earth' AS country, DATE '1995-01-01' AS signup_date,
-               c_nationkey AS nation
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+               n_nationkey AS nation
+        FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
     "products": """
         SELECT p_partkey AS product_id,
                'SKU-' || CASE WHEN length(p_partkey::VARCHAR) < 6 THEN lpad(p_partkey::VARCHAR, 6, '0')
@@ -61,7 +68,7 @@ VIEWS: dict[str, str] = {
                round(selling_price * l_quantity::INTEGER * abs(l_discount)::DECIMAL(4,2), 2)::DECIMAL(12,2)
                    AS discount,
                l_returnflag
-        FROM li JOIN products ON l_partkey = product_id""",
+        FROM li LEFT JOIN products ON l_partkey = product_id""",
     "order_items": """
         SELECT order_item_id, order_id, product_id, quantity, unit_price, discount,
                (unit_price * quantity - discount)::DECIMAL(14,2) AS total_amount
@@ -85,11 +92,11 @@ VIEWS: dict[str, str] = {
                     THEN o_orderdate + to_days((2 + (o_orderkey * 7) % 8)::INTEGER)
                                      + to_hours((o_orderkey % 24)::INTEGER) END AS actual_delivery_date
         FROM orders
-        JOIN customers ON customer_id = o_custkey
+        LEFT JOIN customers ON customer_id = o_custkey
         LEFT JOIN (SELECT order_id AS oid, sum(total_amount) AS lines_total FROM order_items GROUP BY 1)
                ON oid = o_orderkey""",
     "purchase_orders": """
-        SELECT po_id, supplier AS supplier_id, (supplier % 25)::BIGINT AS warehouse_id, month_start AS po_date,
+        SELECT po_id, supplier AS supplier_id, (supplier % (SELECT n FROM sites))::BIGINT AS warehouse_id, month_start AS po_date,
                month_start + to_days((3 + supplier % 18)::INTEGER) AS expected_delivery_date,
                CASE WHEN po_id % 10 = 0 THEN NULL
                     ELSE month_start + to_days((3 + supplier % 18 + po_id % 6 - 2)::INTEGER) END
@@ -111,8 +118,8 @@ VIEWS: dict[str, str] = {
                            * CASE WHEN k % 197 = 0 THEN 1.10 ELSE 1.00 END, 2)::DECIMAL(12,2) AS unit_cost
               FROM li
               JOIN purchase_orders po ON po.po_id = li.po_id AND po.supplier_id = li.l_suppkey
-              JOIN products p ON p.product_id = l_partkey
-              JOIN suppliers s ON s.supplier_id = l_suppkey)""",
+              LEFT JOIN products p ON p.product_id = l_partkey
+              LEFT JOIN suppliers s ON s.supplier_id = l_suppkey)""",
     "shipments": """
         SELECT order_id AS shipment_id, order_id, coalesce(warehouse_id, 0)::BIGINT AS warehouse_id,
                NULL::VARCHAR AS carrier,
@@ -164,7 +171,7 @@ VIEWS: dict[str, str] = {
         SELECT 4000000000000000 + id, site, product_id, 'TRANSFER_OUT', (1 + id % 10)::INTEGER, happened,
                'TRANSFER-' || id FROM line_moves WHERE id % 97 = 0
         UNION ALL
-        SELECT 5000000000000000 + id, (site + 1) % 25, product_id, 'TRANSFER_IN', (1 + id % 10)::INTEGER, happened,
+        SELECT 5000000000000000 + id, (site + 1) % (SELECT n FROM sites), product_id, 'TRANSFER_IN', (1 + id % 10)::INTEGER, happened,
                'TRANSFER-' || id FROM line_moves WHERE id % 97 = 0
         UNION ALL
         SELECT 6000000000000000 + id, site, product_id, 'DAMAGE', (1 + id % 3)::INTEGER, happened, 'DAMAGE-' || id
@@ -252,21 +259,22 @@ VIEWS: dict[str, str] = {
                sum(available_stock)::BIGINT AS available_units
         FROM m3 GROUP BY 1, 2, 3, 4, 5""",
     "m5": """
-        SELECT supplier_id, supplier_name, pos AS purchase_order_count, delivered AS delivered_purchase_order_count,
-               on_time AS on_time_purchase_order_count,
-               round(on_time::DOUBLE / nullif(delivered, 0), 4) AS on_time_delivery_rate,
-               ordered AS ordered_units, received AS received_units,
-               round(received::DOUBLE / nullif(ordered, 0), 4) AS receipt_fill_rate
-        FROM (SELECT s.supplier_id, s.supplier_name, count(po.po_id) AS pos,
-                     count(po.actual_delivery_date) AS delivered,
-                     coalesce(sum(CASE WHEN po.actual_delivery_date <= po.expected_delivery_date THEN 1 ELSE 0 END),
-                              0)::BIGINT AS on_time,
-                     sum(coalesce(r.ordered, 0))::BIGINT AS ordered, sum(coalesce(r.received, 0))::BIGINT AS received
-              FROM suppliers s
-              LEFT JOIN purchase_orders po ON po.supplier_id = s.supplier_id
-              LEFT JOIN (SELECT po_id, sum(ordered_quantity) AS ordered, sum(received_quantity) AS received
-                         FROM purchase_order_items GROUP BY 1) r ON r.po_id = po.po_id
-              GROUP BY 1, 2)""",
+        WITH units AS (
+            SELECT po_id, sum(ordered_quantity) AS ordered, sum(received_quantity) AS received
+            FROM purchase_order_items GROUP BY po_id
+        ), per_supplier AS (
+            SELECT supplier_id, count(*) AS pos, count(actual_delivery_date) AS delivered,
+                   count(*) FILTER (WHERE actual_delivery_date <= expected_delivery_date) AS on_time,
+                   sum(ordered) AS ordered, sum(received) AS received
+            FROM purchase_orders LEFT JOIN units USING (po_id) GROUP BY supplier_id
+        )
+        SELECT s.supplier_id, s.supplier_name, coalesce(pos, 0) AS purchase_order_count,
+               coalesce(delivered, 0) AS delivered_purchase_order_count,
+               coalesce(on_time, 0) AS on_time_purchase_order_count,
+               CASE WHEN delivered > 0 THEN round(on_time::DOUBLE / delivered, 4) END AS on_time_delivery_rate,
+               coalesce(ordered, 0)::BIGINT AS ordered_units, coalesce(received, 0)::BIGINT AS received_units,
+               CASE WHEN ordered > 0 THEN round(coalesce(received, 0)::DOUBLE / ordered, 4) END AS receipt_fill_rate
+        FROM suppliers s LEFT JOIN per_supplier USING (supplier_id)""",
     "m6": """
         SELECT delivery_date, n AS delivered_order_count, promised AS orders_with_promised_date,
                on_time AS on_time_order_count,

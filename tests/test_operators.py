@@ -214,9 +214,9 @@ def test_generic_checks(spark):
 def test_contract_mismatch(moves, dims):
     enriched = I.enriched_movements(moves, **dims)
     checks.require_contract(enriched.select(*reversed(enriched.columns)), MOVEMENTS_PROCESSED)
-    with pytest.raises(RuntimeError, match=r"missing=\['sku'\], extra=\['other'\]"):
+    with pytest.raises(RuntimeError, match=r"lacks \(sku string\), has besides \(other string\)"):
         checks.require_contract(enriched.withColumnRenamed("sku", "other"), MOVEMENTS_PROCESSED)
-    with pytest.raises(RuntimeError, match="expected int, got bigint"):
+    with pytest.raises(RuntimeError, match=r"lacks \(quantity int\), has besides \(quantity bigint\)"):
         checks.require_contract(enriched.withColumn("quantity", F.col("quantity").cast("bigint")), MOVEMENTS_PROCESSED)
     with pytest.raises(RuntimeError, match="unexpectedly empty"):
         checks.require_output(enriched, MOVEMENTS_PROCESSED, 0)
@@ -254,13 +254,18 @@ def test_ledger(spark):
 def test_order_audits(spark):
     items = table(spark, "order_items", dict(order_item_id=1, order_id=1, quantity=6, total_amount=Decimal("0.05")))
     orders = table(spark, "orders", dict(order_id=1, order_value=Decimal("0.06")), dict(order_id=2, order_value=Decimal("1.00")))
-    assert rows(R.order_value_deviations(orders, items)) == [(1, Decimal("0.06"), Decimal("0.05"))]
+    assert rows(R.order_value_deviations(orders, items)) == [
+        (1, Decimal("0.06"), Decimal("0.05")), (2, Decimal("1.00"), Decimal("0.00"))
+    ]
     back = table(
         spark, "returns",
         dict(return_id=1, order_item_id=1, return_quantity=3, refund_amount=Decimal("0.03")),
         dict(return_id=2, order_item_id=1, return_quantity=3, refund_amount=Decimal("0.02")),
+        dict(return_id=3, order_item_id=5, return_quantity=1, refund_amount=Decimal("0.02")),
     )
-    assert rows(R.refund_deviations(back, items)) == [(2, 1, 3, Decimal("0.02"), Decimal("0.03"))]
+    assert rows(R.refund_deviations(back, items)) == [
+        (2, 1, 3, Decimal("0.02"), Decimal("0.03")), (3, 5, 1, Decimal("0.02"), None)
+    ]
     lines = spark.createDataFrame(
         [(1, Decimal("10.05"), 3, Decimal("0.15"))], "order_id bigint, unit_price decimal(12,2), quantity int, discount_rate decimal(4,2)"
     )

@@ -8,9 +8,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from depotflow.verification.oracle import all_oracles
+from depotflow.verification.queries import all_queries
 
 ROOT = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture()
@@ -29,6 +31,7 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
+    assert QUERIES.keys() <= entry.queries().keys()
     assert entry.entry(spark).count() == 50
 
 
