@@ -166,7 +166,7 @@ def test_run_stops_at_the_first_failing_gate(spark, written_tables):
     folder = scratch_path(spark, "test-stop")
     config = L.RunConfig(f"{folder}/processed", f"{folder}/published", AS_OF)
     dirty = conform.corrupted_movements(written_tables["inventory_movements"])
-    with pytest.raises(L.PipelineError, match="data-quality gate.*duplicate movement ids: 78"):
+    with pytest.raises(L.PipelineError, match="data-quality gate.*duplicate movement ids: 83"):
         L.run_pipeline(spark, written_tables.extended(inventory_movements=dirty), config)
     assert not storage.exists(spark, folder)
     empty = written_tables.extended(returns=written_tables["returns"].filter("false"))
