@@ -156,8 +156,8 @@ def test_run_reports_every_step(spark, written_tables):
     folder = scratch_path(spark, "test-run")
     report = L.run_pipeline(spark, written_tables, L.RunConfig(f"{folder}/processed", f"{folder}/published", AS_OF))
     found = {(row["step"], row["item"]): row["value"] for row in report.collect()}
-    assert found[("source gate", "inventory_movements")] == found[("process", "inventory_movements_processed")] == 11_123
-    assert found[("publish", "inventory_daily_metrics")] == 10_807
+    assert found[("source gate", "inventory_movements")] == found[("process", "inventory_movements_processed")] == 11_142
+    assert found[("publish", "inventory_daily_metrics")] == 10_818
     assert found[("tests", "tests passed")] == 28
     assert found[("analytical gate", "fct_supplier_performance")] == 10
 
