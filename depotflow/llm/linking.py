@@ -99,17 +99,24 @@ def components(links: DataFrame) -> DataFrame:
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "links",
     )
+    before = _digest(edges)
     while True:
-        large = _large_star(edges)
-        small = stash(_small_star(large), "links")
-        changed = small.exceptAll(edges).isEmpty() and edges.exceptAll(small).isEmpty()
-        edges = small
-        if changed:
+        edges = stash(_small_star(_large_star(edges)), "links")
+        after = _digest(edges)
+        if after == before:
             break
+        before = after
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
+def _digest(edges: DataFrame) -> tuple:
+    """Number of distinct edges and 128 bits over all of them, whatever their order: one row from
+    one pass without a shuffle of edges."""
+    total = F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))
+    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), total).first())
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
