@@ -125,11 +125,13 @@ def fit_ordinal(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_
     value = np.concatenate([np.frombuffer(x, np.float32) for x in rows.column(2).to_pylist()])
     owner = np.repeat(np.arange(len(target), dtype=np.int32), [len(f) for f in features])
     index = np.concatenate(features)
+    del rows, features  # the driver holds the sample once
     chosen = _informative(index, owner, target)
-    place = np.full(1 << HASH_BITS, -1, np.int64)
+    place = np.full(1 << HASH_BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    keep = place[index] >= 0
-    index, owner, value = place[index[keep]], owner[keep], value[keep]
+    index = place[index]
+    keep = index >= 0
+    index, owner, value = index[keep], owner[keep], value[keep]
     # the sample has as many documents of either class as it can; they weigh what they stand for
     known = {int(r[0]): r[1] for r in labels.filter(F.col(column).isin(0, 1)).groupBy(F.col(column).cast("int")).count().collect()}
     stands = np.array([known.get(c, 1) / max(1, (target == c).sum()) for c in (0, 1)])
