@@ -7,8 +7,9 @@ positional bytes at once: five shared bytes always hold one of the eight triples
 0-3 or 4-7. Shared bytes are then tallied per pair, pairs below the guaranteed minimum are
 dropped, and the rest are verified bit by bit.
 
-Near-duplicates by similarity (0.8 of five-word shingles by default) use the same index, tally
-and minimum, on positional bytes that agree with the probability of the similarity.
+Near-duplicates by similarity (0.8 of five-word shingles by default) use the same index and
+tally, on positional bytes that agree with the probability of the similarity. The tally only
+finds candidates; each link is verified by the Jaccard similarity of the shingle sets.
 """
 
 from __future__ import annotations
@@ -28,7 +29,11 @@ from depotflow.llm.linking import bucket_links, components
 SEED = 42
 MAX_BITS = 3
 #: Bytes of a similarity signature, and bytes that make one key of its index.
-SIGNATURE_BYTES, KEY_BYTES, KEYS = 96, 4, 12
+SIGNATURE_BYTES, KEY_BYTES, KEYS = 96, 4, 20
+#: Standard deviations that the tally of a candidate may lie below the similarity.
+DEVIATIONS = 4.5
+#: Candidates of a group that one task compares at a time, with their shingles.
+VERIFIED_BLOCK = 512
 
 
 def simhash(words: list[bytes], shingle: int) -> int:
@@ -121,30 +126,41 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = MAX_BI
 # --- by similarity ------------------------------------------------------------------------
 
 
+def _shingle_set(words: np.ndarray, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles; a text of fewer words is one shingle."""
+    return np.unique(run_hashes(words, min(shingle, len(words)))) if len(words) else np.empty(0, np.uint64)
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
 def signatures(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, sig): positional bytes, each equal in two texts with the probability of the
-    Jaccard similarity of their shingle sets (or by chance, one in 256)."""
+    """(doc_id, text_key, node, sig): ``node`` is a hash of the set of shingles, ``sig`` has
+    positional bytes, each equal in two texts with the probability of the Jaccard similarity of
+    their sets (or by chance, one in 256)."""
     salts = mix(np.arange(1, SIGNATURE_BYTES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         hashes = WordHashes()
 
-        def signature(text: str | None) -> bytes:
-            words = hashes(lower_words(text))
-            if not len(words):
-                return bytes(SIGNATURE_BYTES)
-            runs = run_hashes(words, min(shingle, len(words)))
-            runs = np.unique(runs) if len(runs) > 1 else runs
+        def signature(text: str | None) -> tuple[int, bytes]:
+            runs = _shingle_set(hashes(lower_words(text)), shingle)
+            node = xxhash.xxh64_intdigest(runs.tobytes(), SEED)
+            node -= node >> 63 << 64
+            if not len(runs):
+                return node, bytes(SIGNATURE_BYTES)
             least = [(runs * salt >> np.uint64(20)).min() for salt in salts]
-            return (mix(np.array(least, np.uint64)) & np.uint64(0xFF)).astype(np.uint8).tobytes()
+            return node, (mix(np.array(least, np.uint64)) & np.uint64(0xFF)).astype(np.uint8).tobytes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            values = [signature(text) for text in batch.column(1).to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], ["doc_id", "sig"])
+            nodes, values = zip(*map(signature, batch.column(2).to_pylist()), strict=True) if batch.num_rows else ((), ())
+            arrays = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(values, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_key", "node", "sig"])
 
         return step
 
-    return map_batches(docs.select(F.col("doc_id").cast("bigint"), "text"), make, "doc_id bigint, sig binary")
+    return map_batches(_keyed(docs), make, "doc_id bigint, text_key bigint, node bigint, sig binary")
 
 
 def _shared_near(minimum: int) -> Callable:
@@ -155,21 +171,83 @@ def _shared_near(minimum: int) -> Callable:
     return near_of
 
 
+def _jaccard_near(minimum: int, similarity: float) -> Callable:
+    """Near by the sets of shingles that follow each signature, if the tally makes it a candidate."""
+
+    def near_of(nodes: np.ndarray, sigs: np.ndarray) -> Callable[[int, np.ndarray], np.ndarray]:
+        tallied = _shared_near(minimum)(nodes, np.array([s[:SIGNATURE_BYTES] for s in sigs], object))
+        sets = [np.frombuffer(s, np.uint64, offset=SIGNATURE_BYTES) if len(s) > SIGNATURE_BYTES else np.empty(0, np.uint64) for s in sigs]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+
+        def near(at: int, others: np.ndarray) -> np.ndarray:
+            hit = tallied(at, others)
+            hit &= np.minimum(sizes[others], sizes[at]) >= similarity * np.maximum(sizes[others], sizes[at]) - 1e-9
+            for place in np.flatnonzero(hit):
+                small, large = sorted((sets[at], sets[others[place]]), key=len)
+                if not len(small):  # both are empty, or the sizes differ
+                    continue
+                found = np.searchsorted(large, small)
+                common = int((large[np.minimum(found, len(large) - 1)] == small).sum())
+                hit[place] = common >= similarity * (len(small) + len(large) - common) - 1e-9
+            return hit
+
+        return near
+
+    return near_of
+
+
+def candidate_minimum(similarity: float) -> int:
+    """The tally that a pair of just this similarity reaches but for a few in a million."""
+    equal = similarity + (1 - similarity) / 256
+    return max(1, int(SIGNATURE_BYTES * equal - DEVIATIONS * np.sqrt(SIGNATURE_BYTES * equal * (1 - equal))))
+
+
+def _verified_links(docs: DataFrame, candidates: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links between nodes of similar sets; ``candidates`` has (node, sig, root, text_of), where
+    ``root`` is the group of candidates and ``text_of`` names a row with the node's text.
+
+    Members of a group meet with their sets, each once or, in large groups, as pairs of blocks.
+    No pairs are listed: a group yields as many links as connect what is similar.
+    """
+    rows = _keyed(docs)
+    same = rows["doc_id"].eqNullSafe(F.col("text_of.doc_id")) & (rows["text_key"] == F.col("text_of.text_key"))
+    met = rows.join(candidates, same).select("node", "root", "sig", "text").dropDuplicates(["node"])
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        hashes = WordHashes()
+
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
+            values = [sig + _shingle_set(hashes(lower_words(text)), shingle).tobytes() for sig, text in pairs]
+            return pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), pa.array(values, pa.binary())], ["bucket", "node", "sig"])
+
+        return step
+
+    sets = stash(map_batches(met, make, "bucket bigint, node bigint, sig binary"), "shingle-sets")
+    return bucket_links(sets, _jaccard_near(candidate_minimum(similarity), similarity), VERIFIED_BLOCK)
+
+
 def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) of every document, linked by chains of similar texts.
 
-    The similarity is the share of equal positional bytes, an estimate of the Jaccard
-    similarity of shingle sets with a standard deviation of 0.04 at 0.8; equal texts always
-    link. Texts without words are equal.
+    The similarity is the Jaccard similarity of shingle sets, counted on 64-bit hashes of the
+    shingles. Equal bytes only find the candidates for that. Texts without words are equal.
     """
-    found = stash(signatures(docs, shingle).withColumn("node", F.xxhash64("sig")), "signatures")
-    distinct = found.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("sig").alias("sig"))
-    keys = F.array(*[F.substring("sig", 1 + KEY_BYTES * k, KEY_BYTES) for k in range(KEYS)])
+    found = stash(signatures(docs, shingle), "signatures")
+    distinct = stash(
+        found.groupBy("node").agg(
+            F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.max(F.struct("doc_id", "text_key")).alias("text_of")
+        ),
+        "shingle-nodes",
+    )
+    starts = [1 + KEY_BYTES * k for k in range(KEYS)]
+    keys = F.array(*[F.substring("sig", at, KEY_BYTES) for at in starts])
     rows = distinct.select("node", "sig", F.posexplode(keys).alias("which", "key")).select(
         F.xxhash64("which", "key").alias("bucket"), "node", "sig"
     )
-    minimum = int(np.ceil(SIGNATURE_BYTES * (similarity + (1 - similarity) / 256)))
-    roots = components(bucket_links(rows, _shared_near(minimum)))
+    groups = components(bucket_links(rows, _shared_near(candidate_minimum(similarity))))
+    candidates = distinct.join(groups, "node").select("node", "sig", "root", "text_of")
+    roots = components(_verified_links(docs, candidates, shingle, similarity))
     rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(component, "root").select("node", "component_id")

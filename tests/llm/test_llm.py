@@ -231,6 +231,30 @@ def test_similar_documents_stay_once(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5] and kept.columns == frame(spark, rows).columns
 
 
+def test_similarity_is_exact_around_the_threshold(spark):
+    """Chained and single pairs on both sides of 0.8 group as a full comparison of sets does."""
+    rng = random.Random(8)
+    rows: list[tuple[int, str]] = []
+    for at in range(160):
+        base = [f"p{rng.randrange(10**7)}" for _ in range(rng.randint(150, 500))]
+        least = len(base) - 4
+        for _ in range(rng.choice([1, 1, 2])):
+            other, wanted = [*base], rng.uniform(0.74, 0.86)
+            changed = round(least * (1 - wanted) / (1 + wanted))  # shingles that one side lacks
+            other[-changed:] = [f"q{rng.randrange(10**7)}" for _ in range(changed)]
+            rows.append((len(rows), " ".join(other)))
+        rows.append((len(rows), " ".join(base)))
+    sets = [frozenset(zip(*[t.split()[k:] for k in range(5)], strict=False)) for _, t in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(max(0, i - 3), i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.similar_components(frame(spark, rows)).collect()}
+    assert got == dict(enumerate(root)) and 80 < len(set(root)) < len(rows) - 80
+
+
 def test_pages():
     page = """<html><head><title>T</title></head><body><header>site</header><div class="cookie-notice">ok?</div><nav><a>menu</a></nav>
       <article><h1>Head &amp; line</h1><p>One<br>two <b>three<p>four&nbsp;five<script>var x="</p>";</script><div class="ad">buy</div>
