@@ -48,6 +48,8 @@ NOISE_NAMES = frozenset(
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 MAIN_TAGS = frozenset(("article", "main"))
+#: Elements that no class, id or role makes noise.
+NEVER_NOISE = frozenset(("html", "body", *MAIN_TAGS))
 # --- end of fixed values
 
 _MARKUP = re.compile(
@@ -61,16 +63,28 @@ _RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW_TAGS}
 class Block:
     """A run of text with the element it stands in."""
 
-    __slots__ = ("main", "noise", "path", "text")
+    __slots__ = ("element", "main", "noise", "path", "text")
 
-    def __init__(self, path: str, main: bool, noise: bool, text: str):
-        self.path, self.main, self.noise, self.text = path, main, noise, text
+    def __init__(self, path: str, main: bool, element: int, text: str):
+        self.path, self.main, self.element, self.text = path, main, element, text
+        self.noise = False
+
+
+class Element:
+    """An element, its place in the list of elements before those in it, and what speaks against it:
+    ``hard`` its tag, ``named`` its class, id or role."""
+
+    __slots__ = ("hard", "named", "parent", "tag")
+
+    def __init__(self, parent: int, tag: str, hard: bool, named: bool):
+        self.parent, self.tag, self.hard, self.named = parent, tag, hard, named
 
 
 def page_blocks(page: str | None) -> list[Block]:
     """The blocks of a page with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, in main, in noise
+    elements = [Element(-1, "", False, False)]
+    stack: list[tuple[str, str, bool, int]] = [("", "", False, 0)]  # tag, path, in main, place of the element
     pieces: list[str] = []
 
     def flush() -> None:
@@ -78,8 +92,8 @@ def page_blocks(page: str | None) -> list[Block]:
             text = " ".join("".join(pieces).split())
             pieces.clear()
             if text:
-                _, path, main, noise = stack[-1]
-                out.append(Block(path, main, noise, text))
+                _, path, main, element = stack[-1]
+                out.append(Block(path, main, element, text))
 
     def close(tag: str) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -124,29 +138,76 @@ def page_blocks(page: str | None) -> list[Block]:
             stack.pop()
         if tag in VOID_TAGS:
             continue
-        _, path, main, noise = stack[-1]
-        names = _names(found[3])
+        _, path, main, parent = stack[-1]
+        names, listed = _names(found[3], frozenset() if main else frozenset(("header",)))
         main = main or tag in MAIN_TAGS
-        noise = noise or tag in NOISE_TAGS or bool(names & NOISE_NAMES) or (not main and (tag == "header" or "header" in names))
+        named = tag not in NEVER_NOISE and (listed or tag in ("form", "header") and (tag == "form" or not main))
+        elements.append(Element(parent, tag, tag in NOISE_TAGS and tag != "form", named))
         shown = f"{path}/{tag}" + "".join(f".{n}" for n in sorted(names))
-        stack.append((tag, shown, main, noise))
+        stack.append((tag, shown, main, len(elements) - 1))
     flush()
+    _mark_noise(out, elements)
     return out
 
 
-def _names(attributes: str) -> frozenset[str]:
-    """The words of an element's class and id, and its role if that names something else than text."""
+def _mark_noise(blocks: list[Block], elements: list[Element]) -> None:
+    """Marks the blocks in elements that are noise by tag or name.
+
+    Names do not count for the ancestors of the page's main element, which is the longest
+    ``main``, or else ``article``, outside named elements if there is one. On a page with neither,
+    names that would leave nothing do not count at all.
+    """
+
+    def spread(hard: bool, named: bool) -> list[bool]:
+        noise: list[bool] = []
+        for e in elements:
+            noise.append(e.parent >= 0 and noise[e.parent] or hard and e.hard or named and e.named)
+        return noise
+
+    noise, hard = spread(True, True), spread(True, False)
+    if any(noise[b.element] and not hard[b.element] for b in blocks):
+        sizes = [0] * len(elements)
+        for b in blocks:
+            at = b.element
+            while at >= 0:
+                sizes[at] += len(b.text)
+                at = elements[at].parent
+        for tag in ("main", "article"):
+            able = [i for i, e in enumerate(elements) if e.tag == tag and sizes[i] and not hard[i]]
+            if able:
+                at = max(able, key=lambda i: (not noise[i], sizes[i]))
+                while at >= 0:
+                    elements[at].named = False
+                    at = elements[at].parent
+                break
+        else:
+            if all(noise[b.element] for b in blocks) and not any(e.tag in MAIN_TAGS for e in elements):
+                for e in elements:
+                    e.named = False
+        noise = spread(True, True)
+    for b in blocks:
+        b.noise = noise[b.element]
+
+
+def _names(attributes: str, more: frozenset[str]) -> tuple[frozenset[str], bool]:
+    """The words of an element's class and id, with its role if that names something else than
+    text, and whether a class or id is listed as a whole: every word of it, as in cookie-notice."""
     if "=" not in attributes:
-        return frozenset()
+        return frozenset(), False
     names: set[str] = set()
+    listed = False
     for kind, *values in _NAMES.findall(attributes):
         value = "".join(values).lower()
         if kind.lower() == "role":
             if value.strip() in NOISE_ROLES:
                 names.add("navigation")
-        else:
-            names.update(_WORD.findall(value))
-    return frozenset(names)
+                listed = True
+            continue
+        for token in value.split():
+            words = _WORD.findall(token)
+            names.update(words)
+            listed = listed or bool(words) and all(w in NOISE_NAMES or w in more for w in words)
+    return frozenset(names), listed
 
 
 def main_text(page: str | None, unimportant: frozenset[int]) -> str:

@@ -264,6 +264,23 @@ def test_pages():
     assert sitetree.main_text("a &lt; b < c", frozenset()) == "a < b < c"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='content-sidebar'><article>%s</article></body>",
+        "<html class=sidebar><body id=ad class='widget'><div>%s</div></body></html>",
+        "<body><div id='wrap' class='has-sidebar'><p>%s</p></div></body>",
+        "<body><div class='widget'><div class='comments'><main>%s<div class=ad>buy</div></main></div></div><div class=related>x</div></body>",
+        "<body><article class='share-news'>%s</article><div class='comments'><article>me too, and much longer</article></div></body>",
+        "<body><article class='share'>%s</article></body>",
+        "<form id=f><div class=header><article>%s</article></div></form><div class='cookie-notice'>ok?</div>",
+        "<body><nav>menu</nav><div class=widget>%s</div></body>",
+    ],
+)
+def test_wrappers_are_not_noise_by_name(page):
+    assert sitetree.main_text(page % "the story", frozenset()) == "the story"
+
+
 def test_site_tree_drops_what_all_pages_show(spark):
     body = "<body><div id=top>welcome to the site</div><div id=text><p>story %d of many</p></div><div id=end>call us</div></body>"
     rows = [(i, f"http://h.org/{i}", body % i) for i in range(30)] + [(99, "http://one.org", body % 99), (98, None, None)]
