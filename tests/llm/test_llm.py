@@ -221,6 +221,25 @@ def test_leaks_verbatim_and_paraphrased(spark):
     assert {(r[0], r[1]) for r in found.collect()} == want
 
 
+def test_a_long_item_hides_no_short_ones(spark):
+    """Planted items, verbatim and paraphrased, are all found beside an item of 4,000 words."""
+    rng = random.Random(12)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    pick = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = {i: pick(rng.randint(15, 59)) for i in range(60)} | {60: pick(4000)}
+    docs = []
+    for at, item in items.items():
+        said = [w for w in item if at % 3 or rng.random() > 0.1]  # every third is a paraphrase
+        if at % 3 == 0:
+            for _ in range(len(said) // 5):
+                said.insert(rng.randrange(len(said)), "so")
+        docs.append((at, " ".join([*pick(9000), *said, *pick(9000)])))
+    docs += [(100 + i, " ".join(pick(2000))) for i in range(100)]
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    got = {(r[0], r[1]) for r in latent.benchmark_leaks(frame(spark, docs), table).collect()}
+    assert {(i, i) for i in items} <= got
+
+
 def test_similar_documents_stay_once(spark):
     rng = random.Random(2)
     base = [f"t{rng.randrange(10**6)}" for _ in range(400)]
