@@ -5,8 +5,9 @@ classes and ids. A node has the presentation entropy of the ways its content is
 the content entropy of its blocks: what most pages of the host show alike says little. Its
 importance, between 0 and 1, joins both. Branches of low importance are removed from each page,
 as are branches that their tags, classes or roles name as something else than the article.
-What stands inside an article element counts as the article whatever other pages show, so that
-copies of an article are kept on each page. Pages of hosts with few pages rest on names alone.
+An article element is a prior for what stands in it and against what stands beside it, and so
+weighs most where a host has few pages. Pages of one body count once, so that copies of an
+article do not look like the site's own text.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ from pyspark.sql import functions as F
 
 from depotflow.llm.common import map_batches
 
-#: Pages of a host that a node must be on to be judged, its least importance, and the weight of
-#: content against presentation.
-LEAST_PAGES, LEAST_IMPORTANCE, CONTENT_WEIGHT = 8, 0.35, 0.9
+#: Least importance of a node, that of a node beside the article, and the weight of content
+#: against presentation.
+LEAST_IMPORTANCE, LEAST_BESIDE, CONTENT_WEIGHT = 0.35, 0.6, 0.9
+#: Importance before any page is seen: in an article, beside one, on pages without one; and how
+#: many pages that is worth.
+PRIOR_MAIN, PRIOR_BESIDE, PRIOR_OTHER, PRIOR_PAGES = 1.0, 0.0, 0.6, 8
 
 #: Parts into which the pages of every host are dealt for the join with its list of nodes.
 HOST_PARTS = 64
@@ -210,11 +214,13 @@ def _names(attributes: str, more: frozenset[str]) -> tuple[frozenset[str], bool]
     return frozenset(names), listed
 
 
-def main_text(page: str | None, unimportant: frozenset[int]) -> str:
-    """The blocks that stay, joined by two line ends."""
+def main_text(page: str | None, unimportant: frozenset[int], important: frozenset[int] = frozenset()) -> str:
+    """The blocks that stay, joined by two line ends: all but the unimportant, and on pages with an
+    article only the important of those beside it."""
     blocks = [b for b in page_blocks(page) if not b.noise]
-    if any(b.main for b in blocks):
-        kept = [b for b in blocks if b.main]
+    main = [b for b in blocks if b.main]
+    if main:
+        kept = [b for b in blocks if (_key(b.path) not in unimportant if b.main else _key(b.path) in important)] or main
     else:
         kept = [b for b in blocks if _key(b.path) not in unimportant] or blocks
     return "\n\n".join(b.text for b in kept)
@@ -231,19 +237,25 @@ def host_of(url: Column) -> Column:
 
 
 def node_importance(pages: DataFrame) -> DataFrame:
-    """(host, node, pages, importance) of the nodes of each host's tree that hold text.
+    """(host, node, main, pages, importance) of the nodes of each host's tree that hold text;
+    ``pages`` counts pages of one body once, ``main`` says whether the node is in an article.
 
-    Each batch of pages counts its features first, and features are counted per host and node
-    in partial aggregates, so a host with a third of all pages is no single task's work.
+    Pages of one body are merged by host and body. Each batch counts features first, and they are
+    counted per host and node in partial aggregates, so no host is a single task's work.
     """
 
-    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+    def pack() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            seen: Counter = Counter()
-            for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            bodies, packed = [], []
+            for page in batch.column(1).to_pylist():
                 layout: dict[str, list[str]] = {}
-                features = set()
-                for block in page_blocks(page):
+                features, inside = set(), set()
+                blocks = page_blocks(page)
+                clean = [b for b in blocks if not b.noise] or blocks
+                bodies.append(_key("\n\n".join([b.text for b in clean if b.main] or [b.text for b in clean])))
+                for block in blocks:
+                    if block.main:
+                        inside.add(_key(block.path))
                     features.add((_key(block.path), 1, _key(block.text)))
                     parent, _, tag = block.path.rpartition("/")
                     layout.setdefault(parent, []).append(tag)
@@ -251,7 +263,18 @@ def node_importance(pages: DataFrame) -> DataFrame:
                 for path in layout:
                     features.add((_key(path), 0, 0))
                     features.add((_key(path), 2, _key(" ".join(layout[path]))))
-                seen.update((host, *f) for f in features)
+                features.update((node, 3, 0) for node in inside)
+                packed.append(np.array(sorted(features), np.int64).reshape(-1, 3).tobytes())
+            arrays = [batch.column(0), pa.array(bodies, pa.int64()), pa.array(packed, pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["host", "body", "features"])
+
+        return step
+
+    def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            seen: Counter = Counter()
+            for host, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                seen.update((host, *f) for f in np.frombuffer(packed, np.int64).reshape(-1, 3).tolist())
             columns = list(zip(*seen, strict=True)) or [[]] * 4
             types = [pa.string(), pa.int64(), pa.int32(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -261,19 +284,38 @@ def node_importance(pages: DataFrame) -> DataFrame:
 
         return step
 
-    counted = map_batches(pages.select("host", "html"), make, "host string, node bigint, kind int, feature bigint, n bigint")
+    each = map_batches(pages.select("host", "html"), pack, "host string, body bigint, features binary")
+    bodies = each.groupBy("host", "body").agg(F.min("features").alias("features"))
+    counted = map_batches(bodies.select("host", "features"), make, "host string, node bigint, kind int, feature bigint, n bigint")
     features = counted.groupBy("host", "node", "kind", "feature").agg(F.sum("n").alias("n"))
     n, log = F.col("n").cast("double"), F.log(F.col("n").cast("double"))
     nodes = features.groupBy("host", "node").agg(
         F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"),
         F.avg(F.when(F.col("kind") == 1, log)).alias("alike"),
         F.sum(F.when(F.col("kind") == 2, n * log)).alias("layouts"),
+        F.max(F.col("kind") == 3).alias("main"),
     )
     size = F.log(F.greatest(F.col("pages"), F.lit(2)).cast("double"))
     content = F.greatest(F.lit(0.0), 1 - F.col("alike") / size)
     presentation = F.when(F.col("pages") > 1, F.greatest(F.lit(0.0), 1 - F.col("layouts") / F.col("pages") / size)).otherwise(1.0)
     importance = CONTENT_WEIGHT * content + (1 - CONTENT_WEIGHT) * presentation
-    return nodes.filter("alike IS NOT NULL").select("host", "node", "pages", importance.alias("importance"))
+    return nodes.filter("alike IS NOT NULL").select("host", "node", "main", "pages", importance.alias("importance"))
+
+
+def _verdicts(rows: DataFrame) -> DataFrame:
+    """(host, unimportant, important): nodes whose importance, with what the prior is worth, says
+    otherwise than the prior alone."""
+
+    def judged(prior: float) -> Column:
+        return (PRIOR_PAGES * F.lit(prior) + F.col("pages") * F.col("importance")) / (PRIOR_PAGES + F.col("pages"))
+
+    low = F.when(F.col("main"), judged(PRIOR_MAIN)).otherwise(judged(PRIOR_OTHER)) < LEAST_IMPORTANCE
+    high = ~F.col("main") & (judged(PRIOR_BESIDE) >= LEAST_BESIDE)
+    nodes = node_importance(rows).withColumns({"low": low, "high": high}).filter("low OR high")
+    return nodes.groupBy("host").agg(
+        F.collect_list(F.when(F.col("low"), F.col("node"))).alias("unimportant"),
+        F.collect_list(F.when(F.col("high"), F.col("node"))).alias("important"),
+    )
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -282,18 +324,17 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     A NULL url belongs to the nameless host. Repeated rows come back as often as they went in.
     """
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    low = node_importance(rows).filter((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-    lists = low.groupBy("host").agg(F.collect_list("node").alias("unimportant"))
+    lists = _verdicts(rows)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(HOST_PARTS)).cast("int"))
     parts = F.explode(F.sequence(F.lit(0), F.lit(HOST_PARTS - 1)))
     joined = salted.join(lists.withColumn("salt", parts), ["host", "salt"], "left").select(
-        "page_id", "url", "html", "unimportant"
+        "page_id", "url", "html", "unimportant", "important"
     )
 
     def make() -> Callable[[pa.RecordBatch], pa.RecordBatch]:
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            pairs = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            texts = [main_text(page, frozenset(low or ())) for page, low in pairs]
+            judged = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)), strict=True)
+            texts = [main_text(page, frozenset(low or ()), frozenset(high or ())) for page, low, high in judged]
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],

@@ -307,6 +307,15 @@ def test_site_tree_drops_what_all_pages_show(spark):
     assert got[7] == "story 7 of many" and got[98] == "" and got[99] == "welcome to the site\n\nstory 99 of many\n\ncall us"
 
 
+def test_site_tree_judges_pages_with_articles(spark):
+    page = "<body><div id=top>welcome</div><article><p>story %s</p><div id=plug>read our book</div></article><div id=card>more of %s</div></body>"
+    shown = [(i, "http://big.org", page % (i, i)) for i in range(40)] + [(100 + i, "http://few.org", page % (i, i)) for i in range(3)]
+    shown += [(200 + i, "http://copies.org", page % ("once", "once")) for i in range(40)]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract_main_text(spark.createDataFrame(shown, "page_id bigint, url string, html string")).collect()}
+    assert got[7] == "story 7\n\nmore of 7"  # the tree drops what all articles end with and keeps what differs beside them
+    assert got[101] == "story 1\n\nread our book" and got[239] == "story once\n\nread our book"  # the prior holds
+
+
 def labelled(spark, count=300):
     rng = random.Random(5)
     docs, labels = [], []
