@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from depotflow.llm import langid, language_model, latent, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
+from depotflow.llm import conversations, langid, language_model, latent, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
 from depotflow.llm.common import held_out, table
 
 
@@ -89,6 +89,100 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latent.benchmark_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every damaged conversation, as counts, audit and digest."""
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repair_digests(conversations.repair_conversations(rows))
+
+
+def _crc32_of(text: str) -> str:
+    """CRC-32 of a text of ASCII characters in SQL that has no such function."""
+    step = "xor(acc, code) & 255"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda v: xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END))[1]"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    summed = f"list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda acc, code: xor(acc >> 8, {step}))"
+    return f"xor({summed}, 4294967295)"
+
+
+def _over(value: str, cost: int, letter: str) -> str:
+    """A path, ten digits of cost and then its letters, one edit longer."""
+    return f"lpad((CAST(substr({value}, 1, 10) AS BIGINT) + {cost})::VARCHAR, 10, '0') || substr({value}, 11) || '{letter}'"
+
+
+def _op11_sql() -> str:
+    inserted = f"""
+      SELECT *, v0 AS w0, v1 AS w1, u2 AS w2, least(v3, {_over('u2', 5, 'I')}) AS w3
+      FROM (SELECT *, least(v2, {_over('v0', 5, 'I')}, {_over('v1', 5, 'I')}, {_over('v3', 5, 'I')}) AS u2 FROM {{source}})"""
+    live, more = "fault < 2", "CASE WHEN fault = 1 THEN 5 ELSE 0 END"
+
+    def edit(value: str, extra: int, letter: str, when: str) -> str:
+        return f"CASE WHEN {live} AND {when} THEN {_over(value, f'{more} + {extra}', letter)} END"
+
+    def into_user(value: str) -> str:
+        return edit(value, 0, "K", "initial = 'u'") + ", " + edit(value, 1, "R", "true")
+
+    return rf"""
+WITH RECURSIVE kinds AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32_of("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM damaged
+), judged AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 2
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 3
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 1 ELSE 0 END AS fault,
+         lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY p) || substr(role, 1, 1) AS pair
+  FROM placed
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 2) AS blank, count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+         count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM judged GROUP BY conv_id
+), paths AS (
+  SELECT conv_id, 0::BIGINT AS p, '0000000000' AS v0, NULL::VARCHAR AS v1, NULL::VARCHAR AS v2, NULL::VARCHAR AS v3 FROM counted
+  UNION ALL
+  SELECT conv_id, p, {_over('w0', 2, 'D')},
+         least({_over('w1', 2, 'D')}, {edit('w0', 0, 'K', "initial = 's'")}),
+         least({_over('w2', 2, 'D')}, {into_user('w0')}, {into_user('w1')}, {into_user('w3')}),
+         least({_over('w3', 2, 'D')}, {edit('w2', 0, 'K', "initial = 'a'")}, {edit('w2', 1, 'R', 'true')})
+  FROM ({inserted.format(source="(SELECT s.conv_id, j.p, v0, v1, v2, v3, initial, fault FROM paths s JOIN judged j ON s.conv_id IS NOT DISTINCT FROM j.conv_id AND s.p + 1 = j.p)")})
+), ended AS (
+  SELECT conv_id, least(w0, w3) AS best
+  FROM ({inserted.format(source="(SELECT s.* FROM paths s JOIN counted c ON s.conv_id IS NOT DISTINCT FROM c.conv_id AND s.p = c.n)")})
+), letters AS (
+  SELECT conv_id, unnest(range(11, len(best) + 1)) AS q, best FROM ended
+), edits AS (
+  SELECT conv_id, q, substr(best, q, 1) AS letter,
+         count(*) FILTER (substr(best, q, 1) <> 'I') OVER (PARTITION BY conv_id ORDER BY q) AS p FROM letters
+), told AS (
+  SELECT e.conv_id, e.q, e.letter, j.role, j.text,
+         row_number() OVER (PARTITION BY e.conv_id ORDER BY e.q) AS place,
+         max(CASE WHEN e.letter = 'K' AND j.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS opened
+  FROM edits e LEFT JOIN judged j ON e.conv_id IS NOT DISTINCT FROM j.conv_id AND e.p = j.p AND e.letter <> 'I' WHERE e.letter <> 'D'
+), lines AS (
+  SELECT conv_id, place, CASE WHEN letter = 'K' THEN role WHEN (place - opened) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+         || CASE WHEN letter = 'I' THEN '' ELSE text END AS line FROM told
+), hashes AS (
+  SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY place)) AS repaired FROM lines GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0)::BIGINT AS blank,
+       coalesce(c.duplicate, 0)::BIGINT AS duplicate, coalesce(c.truncated, 0)::BIGINT AS truncated,
+       coalesce(c.illegal, 0)::BIGINT AS illegal, coalesce(substr(e.best, 1, 10)::BIGINT, 0) AS cost,
+       coalesce(substr(e.best, 11), '') AS audit, coalesce(h.repaired, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON o.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN hashes h ON o.conv_id IS NOT DISTINCT FROM h.conv_id
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -101,8 +195,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": op6_simhash,
         "op7_substrings": op7_substrings,
         "op10_decontamination": op10_decontamination,
+        "op11_conversations": op11_conversations,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_substrings": OP7_SQL}
+    return {"op7_substrings": OP7_SQL, "op11_conversations": _op11_sql()}
