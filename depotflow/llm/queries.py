@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from depotflow.llm import conversations, langid, language_model, latent, mixing, ordinal, simhash, sitetree, spotsigs, substrings, subwords
-from depotflow.llm.common import held_out, table
+from depotflow.llm import conversations, langid, language_model, latent, mixing, negatives, ordinal, packing, simhash, sitetree, spotsigs, substrings, subwords
+from depotflow.llm.common import held_out, table, tokenizer_path
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +184,40 @@ LEFT JOIN hashes h ON o.conv_id IS NOT DISTINCT FROM h.conv_id
 """
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of sequences of at most 2048 tokens."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors among all embeddings, with labels moved for ids divisible by 7."""
+    rows = negatives.participants(table(spark, sf_dir, "embeddings"), negatives.moved_labels())
+    return negatives.hard_negatives(rows)
+
+
+OP13_SQL = """
+WITH parts AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v, row_number() OVER () AS rid
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.rid AS a, a.vec_id AS anchor_id, b.vec_id, b.rid AS b, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM parts a JOIN parts b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT a, anchor_id, vec_id AS positive_id, b, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST) <= 5
+)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, s.vec_id AS negative_id,
+       p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.a = s.a AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score
+WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id NULLS LAST)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -196,8 +231,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_substrings": op7_substrings,
         "op10_decontamination": op10_decontamination,
         "op11_conversations": op11_conversations,
+        "op12_packing": op12_packing,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op7_substrings": OP7_SQL, "op11_conversations": _op11_sql()}
+    return {"op7_substrings": OP7_SQL, "op11_conversations": _op11_sql(), "op13_hard_negatives": OP13_SQL}
