@@ -42,7 +42,7 @@ STEP_TOKENS = 16 * 2048
 BLOCK_PIECES, BLOCK_TOKENS = 8_192, 4_000_000
 END_ID = 1
 
-_CACHED_WORDS, _CACHED_BYTES = 500_000, 48
+_CACHED_WORDS, _CACHED_BYTES = 600_000, 48
 _ID_BYTES = 4
 
 PIECE_SQL = (
@@ -55,36 +55,45 @@ _PIECE_SCHEMA = pa.schema(
 )
 
 
-class WordIds(dict):
+class WordIds:
     """Token ids of texts by a tokenizer whose tokens never span white space, as packed numbers.
 
-    The tokenizer ignores case and white space, so a text's ids are those of its words one after the other;
-    short words are remembered in lower case up to a bound per worker. Words that may hold one of the
-    tokenizer's marks are left as they are.
+    The tokenizer ignores case and white space, so a text's ids are those of its words one after the other.
+    Short words are remembered in lower case, in two generations of bounded size: when the newer is full it
+    becomes the older, and words that are met again move up, so that common words stay. Words that may
+    hold one of the tokenizer's marks are left as they are.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.newer: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def of_texts(self, texts: Sequence[bytes | None]) -> Iterator[bytes]:
         """The packed ids of each text, with the end mark; their unknown words are encoded at once."""
-        if len(self) > _CACHED_WORDS:
-            self.clear()
+        if len(self.newer) > _CACHED_WORDS:
+            self.newer, self.older = {}, self.newer
         split = [_words(text) for text in texts]
-        new = list({word for words in split for word in words if word not in self})
+        unseen = set().union(*split).difference(self.newer)
+        new = []
+        for word in unseen:
+            known = self.older.get(word)
+            if known is None:
+                new.append(word)
+            else:
+                self.newer[word] = known
         encoded = self.tokenizer.encode_batch([word.decode() for word in new], add_special_tokens=False)
         for word, found in zip(new, encoded):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+            self.newer[word] = np.array(found.ids, "<u4").tobytes()
         end = np.array([END_ID], "<u4").tobytes()
         for words in split:
-            yield b"".join(map(self.__getitem__, words)) + end
+            yield b"".join(map(self.newer.__getitem__, words)) + end
         for word in new:
             if len(word) > _CACHED_BYTES:
-                del self[word]
+                del self.newer[word]
 
 
 def _words(text: bytes | None) -> list[bytes]:
