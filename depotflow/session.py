@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_PARTITION_BYTES = 200 * 1024**2
 
@@ -70,3 +70,10 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_folder(spark)}/depotflow/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stashed(frame: DataFrame, label: str) -> DataFrame:
+    """A frame written to the shared folder and read back, so that its sources may change after."""
+    location = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(location)
+    return frame.sparkSession.read.schema(frame.schema).parquet(location)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotflow.functions import columns as X
-from depotflow.model import CONTRACTS, MOVEMENTS_PROCESSED, RECEIPT_REFERENCE, TABLES
+from depotflow.model import CONTRACTS, DAILY_METRICS, MOVEMENTS_PROCESSED, RECEIPT_REFERENCE, SNAPSHOT_ENRICHED, TABLES
 from depotflow.operators import audits as R
 from depotflow.operators import inventory as I
 from depotflow.operators import ledger as L
@@ -18,10 +20,12 @@ from depotflow.operators import movement_audit as A
 from depotflow.operators import profiles as P
 from depotflow.operators import quality as Q
 from depotflow.operators import standardize as S
-from depotflow.plans import checks, conform
+from depotflow.plans import checks, commits, conform
+from depotflow.plans import publish as W
 from depotflow.plans.pipeline import RunConfig, declared_test_results, marts, run_pipeline
 from depotflow.plans.publish import publish, published
-from depotflow.session import scratch_path
+from depotflow.session import scratch_path, stashed
+from depotflow.sources import storage
 from depotflow.sources.files import read_dataset, read_landing, write_dataset, write_landing
 from depotflow.sources.relations import Relations, parquet_relations
 
@@ -497,6 +501,86 @@ def published_counts(spark, root):
     return P.row_counts(frames, frames)
 
 
+def _counted_run(spark: SparkSession, tables: Relations) -> W.Run:
+    """A run that counts on the way from the sources to what it published."""
+    moves, stock = W.Counted(tables["inventory_movements"]), W.Counted(tables["inventory"])
+    with W.Run(spark, scratch_path(spark, "counted")) as run:
+        run.stage(MOVEMENTS_PROCESSED.name, I.enriched_movements(moves.frame, **_dims(tables)), MOVEMENTS_PROCESSED, source=moves)
+        enriched = W.Counted(run.read(MOVEMENTS_PROCESSED.name), "movements", F.sum("movement_count"))
+        run.stage(DAILY_METRICS.name, I.daily_metrics(enriched.frame), DAILY_METRICS, source=enriched)
+        run.stage(SNAPSHOT_ENRICHED.name, I.enriched_snapshot(stock.frame, **_dims(tables)), SNAPSHOT_ENRICHED, source=stock)
+        run.commit()
+    return run
+
+
+@_query_with_session
+def dq_published_counts(spark, root):
+    """What the sources hold, what came out of the joins and what was published, and the difference."""
+    run = _counted_run(spark, conform.conformed(spark, root))
+    return W.count_differences(spark, commits.latest(spark, run.root))
+
+
+@_query_with_session
+def dq_published_counts_dirty(spark, root):
+    """The same where one product is there twice under different names."""
+    tables = conform.conformed(spark, root)
+    products = tables["products"]
+    first = products.filter(F.col("product_id") == products.agg(F.min("product_id")).scalar())
+    doubled = products.unionByName(first.withColumn("product_name", F.concat("product_name", F.lit(" (again)"))))
+    moves = W.Counted(tables["inventory_movements"])
+    contract = replace(MOVEMENTS_PROCESSED, key=("movement_id", "product_name"))
+    with W.Run(spark, scratch_path(spark, "doubled")) as run:
+        frame = I.enriched_movements(moves.frame, **(_dims(tables) | {"products": doubled}))
+        run.stage(contract.name, frame, contract, source=moves)
+        commit = run.commit()
+    return W.count_differences(spark, commit)
+
+
+def _published_days(spark: SparkSession, root: str) -> str:
+    """A folder in which the daily metrics are live."""
+    location = scratch_path(spark, "days")
+    publish(spark, {DAILY_METRICS.name: m2_daily_metrics(conform.conformed(spark, root))}, location)
+    return location
+
+
+@_query_with_session
+def dq_leftover_runs(spark, root):
+    """Runs beside the live one: one whose writer has died, and one that is still being written."""
+    location = _published_days(spark, root)
+    days = published(spark, location)[DAILY_METRICS.name]
+    now = time.time()
+    for owner, expires in (("crashed", now - 1), ("other", now + 3600)):
+        folder = f"{location}/runs/{owner}"
+        storage.make_folder(spark, f"{location}/leases")
+        commits.write_lease(spark, location, commits.Lease(owner, owner, folder, expires))
+        write_dataset(days, f"{folder}/{DAILY_METRICS.name}")
+    return W.run_states(spark, location, now)
+
+
+@_query_with_session
+def dq_changed_partitions(spark, root):
+    """Partitions of live daily metrics to which rows were added behind the publisher's back."""
+    location = _published_days(spark, root)
+    entry = commits.latest(spark, location).datasets[DAILY_METRICS.name]
+    month = f"{entry['root']}/movement_year=1996/movement_month=11"
+    if storage.exists(spark, month):
+        held = published(spark, location)[DAILY_METRICS.name].filter("movement_year = 1996 AND movement_month = 11")
+        extra = stashed(held.filter("product_id % 2 = 0").drop("movement_year", "movement_month"), "extra")
+        extra.write.mode("append").parquet(month)
+    return W.changed_partitions(spark, location)
+
+
+@_query_with_session
+def partition_replace(spark, root):
+    """Daily metrics after one month was published anew; the other months stay where they lie."""
+    location = _published_days(spark, root)
+    month = published(spark, location)[DAILY_METRICS.name].filter("movement_year = 1996 AND movement_month = 11")
+    mended = month.withColumn("net_quantity", F.col("net_quantity") + 1000)
+    if not month.isEmpty():
+        publish(spark, {DAILY_METRICS.name: mended}, location, carry_over=True)
+    return published(spark, location)[DAILY_METRICS.name]
+
+
 @_query_with_session
 def sql_views(spark, root):
     """Relations read through SQL by name: stock-outs by state, from the published view."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from datetime import date, datetime
 
 import pytest
@@ -10,10 +12,12 @@ from pyspark.sql import functions as F
 
 from depotflow.model import CONTRACTS, PRIMARY_KEYS, TABLES
 from depotflow.operators import inventory as I
-from depotflow.plans import conform
+from depotflow.operators import digests as D
+from depotflow.operators import quality as Q
+from depotflow.plans import commits, conform
 from depotflow.plans import pipeline as L
 from depotflow.plans import publish as W
-from depotflow.session import scratch_path, shared_folder
+from depotflow.session import scratch_path, shared_folder, stashed
 from depotflow.sources import files, jdbc, storage
 from depotflow.sources.relations import Relations, parquet_relations
 
@@ -94,7 +98,7 @@ def test_publish_switches_everything_or_nothing(spark, frames):
     with pytest.raises(RuntimeError, match="duplicate key"):
         W.publish(spark, broken, root)
     assert W.live_run(spark, root) == live and W.leftover_runs(spark, root) == []
-    assert storage.child_names(spark, f"{root}/runs") == [live]
+    assert storage.child_names(spark, f"{root}/runs") == [live] and storage.child_names(spark, f"{root}/leases") == []
     assert {name: W.published(spark, root)[name].count() for name in CONTRACTS} == seen
 
     empty = dict(small, inventory_daily_metrics=daily.filter("false"))
@@ -107,6 +111,122 @@ def test_publish_switches_everything_or_nothing(spark, frames):
         W.published(spark, scratch_path(spark, "test-unpublished"))
 
 
+def _days(frames, year=1996, month=None):
+    frame = frames["inventory_daily_metrics"].filter(F.col("movement_year") == year)
+    return {"inventory_daily_metrics": frame if month is None else frame.filter(F.col("movement_month") == month)}
+
+
+def test_of_racing_publishers_one_wins(spark, frames):
+    root = scratch_path(spark, "test-race")
+    small = _days(frames, 1996, 11)
+    W.publish(spark, small, root)
+    outcome = []
+
+    def race(start):
+        try:
+            with W.Run(spark, root) as run:
+                run.stage("inventory_daily_metrics", small["inventory_daily_metrics"], CONTRACTS["inventory_daily_metrics"])
+                start.wait()
+                outcome.append(run.commit().run)
+        except commits.LostRace as lost:
+            outcome.append(lost)
+
+    start = threading.Barrier(4)
+    racers = [threading.Thread(target=race, args=(start,)) for _ in range(4)]
+    for racer in racers:
+        racer.start()
+    for racer in racers:
+        racer.join()
+    winners = [o for o in outcome if isinstance(o, str)]
+    assert len(winners) == 1 and len(outcome) == 4 and W.live_run(spark, root) == winners[0]
+    assert [c.number for c in commits.history(spark, root)] == [1, 2]
+    assert len(storage.child_names(spark, f"{root}/runs")) == 2 and commits.leases(spark, root) == []
+
+
+def test_a_commit_is_created_once(spark):
+    root = scratch_path(spark, "test-commit")
+    commits.add_commit(spark, root, commits.Commit(1, "a"))
+    with pytest.raises(commits.LostRace):
+        commits.add_commit(spark, root, commits.Commit(1, "b"))
+    assert commits.latest(spark, root).run == "a"
+    assert storage.child_names(spark, f"{root}/manifests") == ["000000000001.json"]
+
+
+def test_leftovers_are_runs_with_an_expired_lease(spark, frames):
+    root = scratch_path(spark, "test-lease")
+    W.publish(spark, _days(frames, 1996, 11), root)
+    storage.make_folder(spark, f"{root}/runs/foreign")  # nobody's run: left alone
+    run = W.Run(spark, root, owner="slow", lease_seconds=0.6)
+    run.stage("days", frames["inventory_daily_metrics"].limit(3))
+    time.sleep(1.5)  # the lease would have expired, but it is renewed
+    assert W.leftover_runs(spark, root) == []
+    W.require_no_leftovers(spark, root)
+    run._lease.stop()  # as if the process had died
+    time.sleep(0.8)
+    assert W.leftover_runs(spark, root) == [run.name]
+    with pytest.raises(RuntimeError, match=f"Leftover staging runs: {run.name}"):
+        W.require_no_leftovers(spark, root)
+    assert [tuple(r) for r in W.run_states(spark, root).collect()] == [("slow", "leftover", 3)]
+    assert commits.remove_leftovers(spark, root) == [run.name]
+    assert W.leftover_runs(spark, root) == [] and run.name not in storage.child_names(spark, f"{root}/runs")
+    assert "foreign" in storage.child_names(spark, f"{root}/runs")
+
+
+def test_a_month_is_replaced_and_the_others_stay(spark, frames):
+    root = scratch_path(spark, "test-month")
+    name = "inventory_daily_metrics"
+    W.publish(spark, _days(frames), root)
+    before = commits.latest(spark, root).datasets[name]
+    files_of = {p["partition"]: storage.child_names(spark, f"{p['root']}/{p['partition']}") for p in before["parts"]}
+    month = W.published(spark, root)[name].filter("movement_month = 11")
+    others = rows(W.published(spark, root)[name].filter("movement_month <> 11"))
+    for net in (1, 2, 3):  # the folder of the first run outlives the commits that are kept
+        W.publish(spark, {name: month.withColumn("net_quantity", F.lit(net).cast("bigint"))}, root, carry_over=True)
+        live = W.published(spark, root)[name]
+        assert rows(live.filter("movement_month <> 11")) == others
+        assert {r[0] for r in live.filter("movement_month = 11").select("net_quantity").collect()} == {net}
+        month = live.filter("movement_month = 11")
+    after = commits.latest(spark, root).datasets[name]
+    for part in after["parts"]:
+        if not part["partition"].endswith("=11"):
+            assert part["root"] == before["root"]
+            assert storage.child_names(spark, f"{part['root']}/{part['partition']}") == files_of[part["partition"]]
+    assert W.changed_partitions(spark, root).collect() == []
+    with pytest.raises(Q.QualityError, match="duplicate key"):  # across runs as well
+        doubled = W.published(spark, root)[name].filter("movement_month = 10").withColumn("movement_month", F.lit(13))
+        W.publish(spark, {name: doubled}, root, carry_over=True)
+
+
+def test_a_changed_row_is_found_in_its_partition(spark, frames):
+    root = scratch_path(spark, "test-digest")
+    name = "inventory_daily_metrics"
+    W.publish(spark, _days(frames), root)
+    assert W.changed_partitions(spark, root).collect() == []
+    folder = commits.latest(spark, root).datasets[name]["root"]
+    month = f"{folder}/movement_year=1996/movement_month=5"
+    held = spark.read.parquet(month)
+    first = held.orderBy("warehouse_id", "product_id", "movement_date").limit(1).collect()
+    key = "warehouse_id = {} AND product_id = {} AND movement_date = DATE '{}'".format(*(first[0][c] for c in ("warehouse_id", "product_id", "movement_date")))
+    changed = held.withColumn("net_quantity", F.when(F.expr(key), F.col("net_quantity") + 1).otherwise(F.col("net_quantity")))
+    kept = stashed(changed, "test-changed")
+    storage.remove(spark, month)
+    kept.write.parquet(month)
+    found = W.changed_partitions(spark, root).collect()
+    assert [r["partition"] for r in found] == ["movement_year=1996/movement_month=5"]
+    assert found[0]["rows"] == found[0]["committed_rows"] == kept.count()
+
+
+def test_digests_add_up_and_see_columns_and_missing_values(spark):
+    frame = spark.createDataFrame([(1, None, "a"), (None, 1, "a"), (1, None, "b"), (1, None, "b")], "x int, y int, z string")
+    whole = D.digest_of(frame.agg(*[c.alias(n) for n, c in D.digest_columns(frame.columns).items()]).first().asDict())
+    parts = [D.digest_of(r.asDict()) for r in D.partition_digests(frame, ["z"], frame.columns).collect()]
+    assert sum(parts, D.Digest()) == whole and whole.rows == 4
+    swapped = frame.select(F.col("y").alias("x"), F.col("x").alias("y"), "z").limit(1)
+    one = lambda f: D.digest_of(f.agg(*[c.alias(n) for n, c in D.digest_columns(f.columns).items()]).first().asDict())
+    assert one(swapped) != one(frame.limit(1)) and one(frame.limit(1)) == one(frame.limit(1).select("z", "y", "x"))
+    assert one(frame.filter("false")) == D.Digest()
+
+
 def test_line_ids_depend_on_nothing_but_the_lines(spark):
     lineitem = spark.read.parquet(f"{ROOT}/lineitem.parquet")
     first = lineitem.filter("l_orderkey = 1").limit(1)
@@ -158,10 +278,38 @@ def test_run_reports_every_step(spark, written_tables):
     found = {(row["step"], row["item"]): row["value"] for row in report.collect()}
     assert found[("source gate", "inventory_movements")] == found[("process", "inventory_movements_processed")] == 11_142
     assert found[("publish", "inventory_daily_metrics")] == 10_818
+    assert found[("publish", "fct_supplier_performance")] == 10 and report.count() == len(found)
+    live = W.published(spark, f"{folder}/published")
+    assert live["fct_supplier_performance"].count() == 10 and len(live.names()) == 6
+    lineage = commits.latest(spark, f"{folder}/published").lineage
+    assert [c["source"] for c in lineage] == [c["published"] for c in lineage] and lineage[0]["source"] == 11_142
     assert found[("tests", "tests passed")] == 28
     assert found[("analytical gate", "fct_supplier_performance")] == 10
 
 
+def test_a_failing_test_of_a_mart_changes_nothing(spark, written_tables, monkeypatch):
+    folder = scratch_path(spark, "test-mart")
+    config = L.RunConfig(f"{folder}/processed", f"{folder}/published", AS_OF)
+    L.run_pipeline(spark, written_tables, config)
+    live, held = W.live_run(spark, config.published_root), storage.child_names(spark, config.processed_root)
+    original = L.marts
+
+    def doubled(relations):
+        made = original(relations)
+        return made | {"fct_supplier_performance": made["fct_supplier_performance"].unionByName(made["fct_supplier_performance"])}
+
+    monkeypatch.setattr(L, "marts", doubled)
+    with pytest.raises(L.PipelineError, match="step 'tests' failed: unique fct_supplier_performance.supplier_id: 10"):
+        L.run_pipeline(spark, written_tables, config)
+    assert W.live_run(spark, config.published_root) == live
+    assert storage.child_names(spark, config.processed_root) == held == [live]
+    monkeypatch.setattr(L, "marts", original)
+    other = W.Run(spark, config.published_root, config.processed_root)  # in flight meanwhile: no matter
+    L.run_pipeline(spark, written_tables, config)
+    assert W.live_run(spark, config.published_root) not in (live, other.name)
+    other.__exit__(None, None, None)
+
+
 def test_run_stops_at_the_first_failing_gate(spark, written_tables):
     folder = scratch_path(spark, "test-stop")
     config = L.RunConfig(f"{folder}/processed", f"{folder}/published", AS_OF)
