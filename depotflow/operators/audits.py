@@ -89,10 +89,10 @@ def refund_deviations(returns: DataFrame, order_items: DataFrame) -> DataFrame:
     )
 
 
-def returnable_items(
+def returnable(
     orders: DataFrame, customers: DataFrame, order_items: DataFrame, products: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """Items of delivered orders, with their customer's segment and their category."""
+    """Lines of delivered orders, whatever their columns, with customer segment and category."""
     delivered = orders.filter(
         (F.col("order_status") == "DELIVERED") & F.col("actual_delivery_date").isNotNull()
     ).select("order_id", "customer_id", "order_date", "actual_delivery_date")
@@ -103,19 +103,25 @@ def returnable_items(
         delivered.join(customers.select("customer_id", "customer_segment"), "customer_id")
         .join(order_items, "order_id")
         .join(labelled, "product_id")
-        .select(
-            "order_id",
-            "order_date",
-            "actual_delivery_date",
-            "customer_segment",
-            "order_item_id",
-            "product_id",
-            "quantity",
-            "unit_price",
-            "discount",
-            "total_amount",
-            "category_name",
-        )
+    )
+
+
+def returnable_items(
+    orders: DataFrame, customers: DataFrame, order_items: DataFrame, products: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """Items of delivered orders, with their customer's segment and their category."""
+    return returnable(orders, customers, order_items, products, categories).select(
+        "order_id",
+        "order_date",
+        "actual_delivery_date",
+        "customer_segment",
+        "order_item_id",
+        "product_id",
+        "quantity",
+        "unit_price",
+        "discount",
+        "total_amount",
+        "category_name",
     )
 
 

@@ -219,33 +219,49 @@ class _Views:
 
     # order lines
 
+    def plain_lines(self) -> DataFrame:
+        """Lines of orders, not numbered, for uses that need no line's id."""
+        return self.table("lineitem").filter("l_orderkey IS NOT NULL")
+
     def lines(self) -> DataFrame:
-        """Lines of orders. The filter is stated here so that every use of the numbering has
+        """Lines of orders. The filter is stated below the numbering so that every use of it has
         it, and Spark sees one and the same shuffle to reuse.
         """
-        lineitem = self.table("lineitem").filter("l_orderkey IS NOT NULL")
-        return numbered_lines(lineitem)
+        return numbered_lines(self.view("plain_lines"))
+
+    _SOLD = (
+        "l_orderkey AS order_id",
+        "l_partkey AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        "l_returnflag",
+        "CAST(abs(l_discount) AS DECIMAL(4,2)) AS discount_rate",
+    )
 
     def sold_lines(self) -> DataFrame:
         """Order lines without prices, for uses that need no join with the products."""
-        return self.view("lines").selectExpr(
-            "line_id AS order_item_id",
-            "l_orderkey AS order_id",
-            "l_partkey AS product_id",
-            "CAST(l_quantity AS INT) AS quantity",
-            "l_returnflag",
-            "CAST(abs(l_discount) AS DECIMAL(4,2)) AS discount_rate",
-        )
+        return self.view("lines").selectExpr("line_id AS order_item_id", *self._SOLD)
 
-    def priced_lines(self) -> DataFrame:
+    def _priced(self, lines: DataFrame) -> DataFrame:
         prices = self.table("part").selectExpr("p_partkey AS product_id", f"{_PRICE} AS unit_price")
-        return self.view("sold_lines").join(prices, "product_id", "left")
+        return lines.join(prices, "product_id", "left")
 
-    def valued_lines(self) -> DataFrame:
-        return self.view("priced_lines").withColumn(
+    def priced_lines(self) -> DataFrame:
+        """Order lines with prices but without ids."""
+        return self._priced(self.view("plain_lines").selectExpr(*self._SOLD))
+
+    @staticmethod
+    def _valued(lines: DataFrame) -> DataFrame:
+        return lines.withColumn(
             "discount", F.expr("CAST(round(unit_price * quantity * discount_rate, 2) AS DECIMAL(12,2))")
         ).withColumn("total_amount", F.expr("CAST(unit_price * quantity - discount AS DECIMAL(14,2))"))
 
+    def line_values(self) -> DataFrame:
+        """What order lines are worth, without ids."""
+        return self._valued(self.view("priced_lines"))
+
+    def valued_lines(self) -> DataFrame:
+        return self._valued(self._priced(self.view("sold_lines")))
+
     def order_items(self) -> DataFrame:
         return self.view("valued_lines").select(*TABLES["order_items"].names)
 
@@ -275,7 +291,7 @@ class _Views:
         )
 
     def orders(self) -> DataFrame:
-        totals = self.view("order_items").groupBy("order_id").agg(F.sum("total_amount").alias("lines_total"))
+        totals = self.view("line_values").groupBy("order_id").agg(F.sum("total_amount").alias("lines_total"))
         return (
             self.view("order_heads")
             .join(totals, "order_id", "left")
@@ -339,6 +355,20 @@ class _Views:
             .select(*TABLES["returns"].names)
         )
 
+    # forms with the references of lines alone, for uses that need no line's id
+
+    def sold_keys(self) -> DataFrame:
+        return self.view("plain_lines").selectExpr("l_orderkey AS order_id", "l_partkey AS product_id")
+
+    def return_keys(self) -> DataFrame:
+        delivered = self.view("order_heads").filter("order_status = 'DELIVERED'").select("order_id")
+        returned = self.view("plain_lines").filter("l_returnflag = 'R'")
+        return returned.selectExpr("l_orderkey AS order_id", "l_partkey AS product_id").join(delivered, "order_id")
+
+    def po_line_keys(self) -> DataFrame:
+        bought = self.view("plain_lines").filter("l_suppkey % 20 <> 7")
+        return bought.selectExpr(f"{_PO_ID} AS po_id", "l_partkey AS product_id")
+
     # purchasing
 
     def purchase_orders(self) -> DataFrame:
@@ -539,7 +569,10 @@ def conformed(spark: SparkSession, root: str) -> Relations:
     key = (spark.sparkContext.applicationId, root)
     if key not in _conformed:
         views = _Views(spark, root)
-        narrow = ("order_heads", "sold_lines", "priced_lines", "return_facts", "po_line_facts")
+        narrow = (
+            "order_heads", "sold_lines", "priced_lines", "line_values", "return_facts", "po_line_facts",
+            "sold_keys", "return_keys", "po_line_keys",
+        )
         loaders = {name: (lambda name=name: views.view(name)) for name in (*TABLES, *narrow)}
         loaders["customers"] = lambda: views.view("customers").drop("place_id")
         _conformed[key] = Relations(loaders)

@@ -66,6 +66,16 @@ def _units_only(tables: Relations) -> Relations:
     )
 
 
+def _keys_only(tables: Relations) -> Relations:
+    """The same tables where those made of order lines have the references of the lines alone."""
+    return tables.extended(
+        orders=tables["order_heads"],
+        order_items=tables["sold_keys"],
+        returns=tables["return_keys"],
+        purchase_order_items=tables["po_line_keys"],
+    )
+
+
 def _with_faults(tables: Relations) -> Relations:
     return tables.extended(
         inventory_movements=conform.corrupted_movements(tables["inventory_movements"])
@@ -161,17 +171,17 @@ def typed_categories(tables):
 @_query
 def source_gate(tables):
     checks.require_tables(tables)
-    return checks.source_counts(_units_only(tables))
+    return checks.source_counts(_keys_only(tables))
 
 
 @_query
 def dq_referential(tables):
-    return checks.source_references(_units_only(tables))
+    return checks.source_references(_keys_only(tables))
 
 
 @_query
 def dq_referential_dirty(tables):
-    return checks.source_references(_with_faults(_units_only(tables)))
+    return checks.source_references(_with_faults(_keys_only(tables)))
 
 
 @_query
@@ -330,7 +340,7 @@ def profile_products(tables):
 
 @_query
 def table_counts(tables):
-    narrow = _units_only(tables)
+    narrow = _keys_only(tables)
     return P.row_counts({name: narrow[name] for name in TABLES}, TABLES)
 
 
@@ -371,7 +381,7 @@ def order_pricing(tables):
 
 @_query
 def order_value_audit(tables):
-    return R.order_value_deviations(tables["orders"], tables["order_items"])
+    return R.order_value_deviations(tables["orders"], tables["line_values"])
 
 
 @_query
@@ -389,10 +399,10 @@ def returnable_items(tables):
 @_query
 def return_risk(tables):
     return R.return_risk(
-        R.returnable_items(
+        R.returnable(
             tables["order_heads"],
             tables["customers"],
-            tables["order_items"],
+            tables["sold_keys"],
             tables["products"],
             tables["categories"],
         )
