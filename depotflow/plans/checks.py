@@ -26,6 +26,7 @@ from depotflow.model import (
 from depotflow.operators import movement_audit as A
 from depotflow.operators import profiles as P
 from depotflow.operators import quality as Q
+from depotflow.operators.rules import Never, Refers, Rule, Unique, compiled
 from depotflow.sources.relations import Relations
 
 # (child, column, parent): a missing reference counts even where the value is NULL.
@@ -152,39 +153,27 @@ def movement_audit(relations: Relations, as_of: Column) -> DataFrame:
 
 def table_contract(relations: Relations) -> DataFrame:
     """Primary keys, unique keys, references and value rules of all operational tables."""
-    parts = [
-        Q.duplicate_keys(relations[table], [key], f"pk {table}({key})", ignore_nulls=True)
-        for table, key in PRIMARY_KEYS.items()
+    rules: list[Rule] = [Unique(f"pk {table}({key})", table, (key,)) for table, key in PRIMARY_KEYS.items()]
+    rules += [Unique(f"unique {table}({', '.join(keys)})", table, tuple(keys)) for table, keys in UNIQUE_KEYS]
+    rules += [
+        Refers(f"fk {ref.child}({ref.column}) -> {ref.parent}", ref.child, ref.column, ref.parent, PRIMARY_KEYS[ref.parent])
+        for ref in REFERENCES
     ]
-    parts += [
-        Q.duplicate_keys(relations[table], keys, f"unique {table}({', '.join(keys)})", ignore_nulls=True)
-        for table, keys in UNIQUE_KEYS
+    rules += [
+        Never(f"check {table}: {rule}", table, Q.breaks(rule)) for table, given in VALUE_RULES.items() for rule in given
     ]
-    declared: dict[str, dict[str, tuple[str, str]]] = {}
-    for ref in REFERENCES:
-        label = f"fk {ref.child}({ref.column}) -> {ref.parent}"
-        declared.setdefault(ref.child, {})[label] = (ref.column, ref.parent)
-    parts.append(_references(relations, declared, null_is_violation=False))
-    parts += [
-        Q.row_rules(relations[table], {f"check {table}: {rule}": Q.breaks(rule) for rule in rules})
-        for table, rules in VALUE_RULES.items()
-    ]
-    return Q.all_checks(parts)
+    return compiled({table: relations[table] for table in TABLES}, rules)
 
 
 def required_values(relations: Relations) -> DataFrame:
     """Missing values in required columns, one pass per table."""
-    return Q.all_checks(
-        Q.row_rules(
-            relations[table],
-            {
-                f"not null {table}.{field.name}": F.col(field.name).isNull()
-                for field in schema.fields
-                if not field.nullable
-            },
-        )
+    rules = [
+        Never(f"not null {table}.{field.name}", table, F.col(field.name).isNull())
         for table, schema in TABLES.items()
-    )
+        for field in schema.fields
+        if not field.nullable
+    ]
+    return compiled({table: relations[table] for table in TABLES}, rules)
 
 
 def require_contract(frame: DataFrame, contract: Contract) -> None:
@@ -230,26 +219,24 @@ def staging_keys(movements: DataFrame, daily: DataFrame, snapshot: DataFrame) ->
         "inventory_daily_metrics": daily,
         "inventory_snapshot_enriched": snapshot,
     }
-    parts = []
-    for name, frame in frames.items():
-        key = CONTRACTS[name].key
-        parts.append(Q.duplicate_keys(frame, key, f"duplicate {name}"))
-        parts.append(Q.null_keys(frame, key, f"null keys {name}"))
-    return Q.all_checks(parts)
+    rules: list[Rule] = []
+    for name in frames:
+        rules.append(Unique(f"duplicate {name}", name, CONTRACTS[name].key, skip_nulls=False))
+        rules.append(Never(f"null keys {name}", name, Q.any_null(CONTRACTS[name].key)))
+    return compiled(frames, rules)
 
 
 def mart_checks(stockout: DataFrame, supplier: DataFrame, delivery: DataFrame) -> DataFrame:
     """Grain of the marts and the range of the stock-out rate."""
-    return Q.all_checks(
+    suppliers, days = "fct_supplier_performance", "fct_order_delivery_performance_daily"
+    return compiled(
+        {"stockout": stockout, suppliers: supplier, days: delivery},
         [
-            Q.duplicate_keys(supplier, ["supplier_id"], "duplicate fct_supplier_performance"),
-            Q.duplicate_keys(delivery, ["delivery_date"], "duplicate fct_order_delivery_performance_daily"),
-            Q.null_keys(supplier, ["supplier_id"], "null keys fct_supplier_performance"),
-            Q.row_rules(
-                stockout,
-                {"stockout rate out of range": Q.outside("stockout_rate", 0, 1, null_is_violation=True)},
-            ),
-        ]
+            Unique(f"duplicate {suppliers}", suppliers, ("supplier_id",), skip_nulls=False),
+            Unique(f"duplicate {days}", days, ("delivery_date",), skip_nulls=False),
+            Never(f"null keys {suppliers}", suppliers, F.col("supplier_id").isNull()),
+            Never("stockout rate out of range", "stockout", Q.outside("stockout_rate", 0, 1, null_is_violation=True)),
+        ],
     )
 
 
@@ -271,67 +258,37 @@ def declared_tests(
     warehouses: DataFrame,
 ) -> DataFrame:
     """The tests declared on staging views and marts: 27 on columns and one on a grain."""
-    def not_null(model: str, *columns: str) -> dict[str, Column]:
-        return {f"not_null {model}.{name}": F.col(name).isNull() for name in columns}
-
-    def unique(model: str, frame: DataFrame, column: str) -> DataFrame:
-        return Q.duplicate_keys(frame, [column], f"unique {model}.{column}", ignore_nulls=True)
-
-    related = {
-        f"relationships stg_inventory_movements.{column} -> {name}": (column, parent, column)
-        for column, name, parent in (
-            ("warehouse_id", "warehouses", warehouses),
-            ("product_id", "products", products),
-        )
-    }
-    return Q.all_checks(
-        [
-            Q.row_rules(
-                movements,
-                not_null(
-                    "stg_inventory_movements",
-                    "movement_id", "movement_date", "warehouse_id", "product_id", "movement_type",
-                )
-                | {
-                    "accepted_values stg_inventory_movements.movement_type": Q.not_accepted(
-                        "movement_type", MOVEMENT_TYPES
-                    )
-                },
-            ),
-            unique("stg_inventory_movements", movements, "movement_id"),
-            Q.missing_references_of(movements, related, null_is_violation=False),
-            Q.row_rules(
-                daily,
-                not_null(
-                    "stg_inventory_daily_metrics",
-                    "warehouse_id", "product_id", "movement_date", "movement_count",
-                ),
-            ),
-            Q.duplicate_keys(
-                daily,
-                ["warehouse_id", "product_id", "movement_date"],
-                "grain stg_inventory_daily_metrics",
-            ),
-            Q.row_rules(
-                snapshot,
-                not_null(
-                    "stg_inventory_snapshot",
-                    "inventory_id", "warehouse_id", "product_id", "snapshot_date", "stock_status",
-                )
-                | {
-                    "accepted_values stg_inventory_snapshot.stock_status": Q.not_accepted(
-                        "stock_status", STOCK_STATUSES
-                    )
-                },
-            ),
-            unique("stg_inventory_snapshot", snapshot, "inventory_id"),
-            Q.row_rules(stockout, not_null("fct_inventory_stockout_daily", "snapshot_date", "warehouse_id")),
-            Q.row_rules(supplier, not_null("fct_supplier_performance", "supplier_id", "supplier_name")),
-            unique("fct_supplier_performance", supplier, "supplier_id"),
-            Q.row_rules(delivery, not_null("fct_order_delivery_performance_daily", "delivery_date")),
-            unique("fct_order_delivery_performance_daily", delivery, "delivery_date"),
-        ]
+    moves, days, stock = "stg_inventory_movements", "stg_inventory_daily_metrics", "stg_inventory_snapshot"
+    rates, suppliers, deliveries = (
+        "fct_inventory_stockout_daily", "fct_supplier_performance", "fct_order_delivery_performance_daily",
     )
+    required = {
+        moves: ("movement_id", "movement_date", "warehouse_id", "product_id", "movement_type"),
+        days: ("warehouse_id", "product_id", "movement_date", "movement_count"),
+        stock: ("inventory_id", "warehouse_id", "product_id", "snapshot_date", "stock_status"),
+        rates: ("snapshot_date", "warehouse_id"),
+        suppliers: ("supplier_id", "supplier_name"),
+        deliveries: ("delivery_date",),
+    }
+    ids = {moves: "movement_id", stock: "inventory_id", suppliers: "supplier_id", deliveries: "delivery_date"}
+    accepted = {(moves, "movement_type"): MOVEMENT_TYPES, (stock, "stock_status"): STOCK_STATUSES}
+    rules: list[Rule] = [
+        Never(f"not_null {model}.{name}", model, F.col(name).isNull()) for model, names in required.items() for name in names
+    ]
+    rules += [
+        Never(f"accepted_values {model}.{name}", model, Q.not_accepted(name, values)) for (model, name), values in accepted.items()
+    ]
+    rules += [Unique(f"unique {model}.{name}", model, (name,)) for model, name in ids.items()]
+    rules.append(Unique(f"grain {days}", days, ("warehouse_id", "product_id", "movement_date"), skip_nulls=False))
+    rules += [
+        Refers(f"relationships {moves}.{column} -> {parent}", moves, column, parent, column)
+        for column, parent in (("warehouse_id", "warehouses"), ("product_id", "products"))
+    ]
+    frames = {
+        moves: movements, days: daily, stock: snapshot, rates: stockout, suppliers: supplier, deliveries: delivery,
+        "products": products, "warehouses": warehouses,
+    }
+    return compiled(frames, rules)
 
 
 # --- analytical gate -------------------------------------------------------------------------------
