@@ -54,6 +54,10 @@ def _trigrams(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, ((mixed * np.uint32(0x9E3779B1)) >> np.uint32(32 - HASH_BITS)).astype(np.int64)
 
 
+#: Words of the longest text times texts times languages that are decided at once.
+_CELLS = 4_000_000
+
+
 @dataclass
 class LanguageModel:
     """Log-probabilities by trigram and language, and which languages write in which script."""
@@ -85,8 +89,28 @@ class LanguageModel:
 
 
 def _viterbi(scores: np.ndarray, owner: np.ndarray, texts: int, penalty: float) -> np.ndarray:
-    """The best languages of the words of many texts at once, one word of each text a step."""
+    """The best languages of the words of many texts, by groups of texts of like length."""
     per_text = np.bincount(owner, minlength=texts)
+    group = np.zeros(texts, np.int64)
+    number = held = 0
+    for text in np.argsort(per_text, kind="stable").tolist():
+        if held and (held + 1) * int(per_text[text]) * scores.shape[1] > _CELLS:
+            number, held = number + 1, 0
+        group[text] = number
+        held += 1
+    of_word = group[owner]
+    order = np.argsort(of_word, kind="stable")
+    path = np.empty(len(owner), np.int64)
+    for words in np.split(order, np.flatnonzero(np.diff(of_word[order])) + 1):
+        own = owner[words]
+        path[words] = _viterbi_together(scores[words], np.cumsum(np.diff(own, prepend=own[0]) > 0), penalty)
+    return path
+
+
+def _viterbi_together(scores: np.ndarray, owner: np.ndarray, penalty: float) -> np.ndarray:
+    """The same for texts at once, one word of each text a step."""
+    per_text = np.bincount(owner)
+    texts = len(per_text)
     first = np.concatenate(([0], np.cumsum(per_text)[:-1]))
     place = np.arange(len(owner)) - first[owner]
     steps, count = int(per_text.max()), scores.shape[1]

@@ -42,7 +42,9 @@ BLOCK_TAGS = frozenset(
     "search section summary table tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template iframe svg math textarea title select object canvas audio video head".split())
+RAW_TAGS = frozenset("script style noscript template iframe svg textarea title select object canvas audio video head".split())
+#: Of these, those that can hold their like.
+NESTING_TAGS = frozenset("template svg object canvas audio video".split())
 NOISE_TAGS = frozenset("nav footer aside form menu dialog button".split())
 NOISE_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar "
@@ -56,12 +58,28 @@ MAIN_TAGS = frozenset(("article", "main"))
 NEVER_NOISE = frozenset(("html", "body", *MAIN_TAGS))
 # --- end of fixed values
 
+# A quote opens a value only behind an equals sign; elsewhere it is a sign like others.
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|=\s*[^\s\"'>][^\s>]*|[^>=]|=)*+)>",
+    re.DOTALL,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z]+")
-_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in RAW_TAGS}
+_RAW_END = {tag: re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*?(/?)>", re.IGNORECASE) for tag in RAW_TAGS}
+
+
+def _after_element(page: str, tag: str, at: int) -> int | None:
+    """Where an element that shows no text ends, those of its kind within it included, if it does."""
+    depth = 1
+    for found in _RAW_END[tag].finditer(page, at):
+        if found[1]:
+            depth -= 1
+        elif tag in NESTING_TAGS and not found[2]:
+            depth += 1
+        if not depth:
+            return found.end()
+    return None
 
 
 class Block:
@@ -124,8 +142,8 @@ def page_blocks(page: str | None) -> list[Block]:
             continue
         if tag in RAW_TAGS:
             if not found[3].endswith("/"):
-                over = _RAW_END[tag].search(page, at)
-                at = over.end() if over else at if tag == "head" else len(page)
+                over = _after_element(page, tag, at)  # of one that never ends only the tag goes, but for code
+                at = over if over is not None else len(page) if tag in ("script", "style") else at
             if tag in ("head", "textarea", "select"):
                 flush()
             continue

@@ -72,8 +72,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
 
     The documents are those with the smallest hashes of their id, so the sample does not depend
     on how the data are laid out. Labels that are NULL or of no document do not count; a document
-    labelled more than once has its largest label, and one whose row is repeated may come twice.
-    The label side is bounded by the parameter, hence safe to broadcast.
+    labelled more than once has its largest label, and of rows that share an id the greatest text counts, so
+    the sample is bounded however often a row is repeated. Rows come in the order of the hashes. The label side is bounded by the parameter, hence safe to broadcast.
     """
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(column).cast("int").alias("label")).filter(
         "doc_id IS NOT NULL AND label IN (0, 1)"
@@ -87,4 +87,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = part.orderBy(order, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("text IS NOT NULL")
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("label").alias("label"))
+    return one.orderBy(order, "doc_id").select("text", "label")
