@@ -124,15 +124,20 @@ def page_blocks(page: str | None) -> list[Block]:
                 return
 
     page, at = page or "", 0
+    limit = page.rfind(">") + 1  # no tag ends behind it
     while True:
-        found = _MARKUP.search(page, at)
+        found = _MARKUP.search(page, at, limit)
         end = found.start() if found else len(page)
+        if not found and "<!--" in page[at:]:
+            end = page.index("<!--", at)
         if end > at:
             pieces.append(entities.unescape(page[at:end]))
         if not found:
             break
         at = found.end()
         if found[2] is None:
+            if found[0].startswith("<!--") and not found[0].endswith("-->"):
+                at = len(page)
             continue
         tag = found[2].lower()
         if found[1]:

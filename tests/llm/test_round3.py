@@ -28,6 +28,7 @@ def text_of(page):
         ("<p>one</p><svg><svg>a</svg>b</svg><p>two</p><canvas>c</canvas>", "one\n\ntwo"),
         ("<p>one</p><iframe src=x><p>two</p>", "one\n\ntwo"),
         ("<p>one</p><script>if (a < b) '<p>no</p>'</script><p>two</p>", "one\n\ntwo"),
+        ("<p>one</p><!-- no > yes", "one"),
         ("<p>1 < 2 and a < b</p><p>two</p>", "1 < 2 and a < b\n\ntwo"),
     ],
 )
@@ -87,5 +88,5 @@ def test_a_sample_has_one_row_of_each_id(spark):
         spark.createDataFrame([(2, "another"), (None, "x")], docs.schema)
     )
     labels = spark.createDataFrame([(1, 0), (2, 1), (2, 1), (3, 1), (9, 1)], "doc_id bigint, toxic int")
-    found = [tuple(r) for r in textarrays.labelled_sample(many.repartition(4), labels, "toxic", 2).collect()]
+    found = [tuple(r) for r in textarrays.labelled_sample(many.repartition(4), labels, "toxic", 3).collect()]
     assert sorted(found) == [("a b", 0), ("c d", 1), ("e", 1)]
