@@ -158,45 +158,58 @@ def stock_balance_deviations(inventory: DataFrame) -> DataFrame:
     )
 
 
+_WORD_BITS = 64
+
+
+def _word(warehouse: str) -> Column:
+    """Which word of a bitmap a warehouse number falls in; its place there is the rest."""
+    return F.shiftright(F.col(warehouse), 6)
+
+
+def _bit(warehouse: str) -> Column:
+    return F.expr(f"shiftleft(1L, CAST(pmod({warehouse}, {_WORD_BITS}) AS INT))")
+
+
 def missing_positions(
-    warehouses: DataFrame,
-    products: DataFrame,
-    inventory: DataFrame,
-    snapshot_date: Column,
-    list_size: int = 1000,
+    warehouses: DataFrame, products: DataFrame, inventory: DataFrame, snapshot_date: Column
 ) -> DataFrame:
     """Warehouse and active product pairs without a stock position on a date.
 
-    Only the missing pairs are ever made: each product's stocked warehouses are taken away
-    from the list of all. Beyond ``list_size`` warehouses the lists are dealt into slices by
-    hash, as many as the number of warehouses asks for, so no list grows with it.
+    The warehouses that stock a product are bitmaps, words of 64 warehouse numbers merged by OR, and only
+    words with a bit set are carried. The words of all warehouses are one small value, 16 bytes for
+    64 warehouses, from which each product's are taken away in place; a product that is
+    stocked everywhere has no bits left and is dropped. Only the missing pairs are ever made.
     """
-    slices = warehouses.agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / list_size)).cast("bigint").alias("slices")
-    ).scalar()
-    dealt = F.pmod(F.xxhash64("warehouse_id"), slices)
-    listed = (
-        warehouses.select("warehouse_id", dealt.alias("slice"))
-        .groupBy("slice")
-        .agg(F.collect_set("warehouse_id").alias("every"))
+    every = (
+        warehouses.filter("warehouse_id IS NOT NULL")
+        .groupBy(_word("warehouse_id").alias("word"))
+        .agg(F.bit_or(_bit("warehouse_id")).alias("bits"))
+        .agg(F.sort_array(F.collect_list(F.struct("word", "bits"))))
+        .scalar()
     )
-    stocked = (
-        inventory.filter(F.col("snapshot_date") == snapshot_date)
-        .select("product_id", "warehouse_id", dealt.alias("slice"))
-        .groupBy("product_id", "slice")
-        .agg(F.collect_set("warehouse_id").alias("held"))
+    held = (
+        inventory.filter((F.col("snapshot_date") == snapshot_date) & F.col("warehouse_id").isNotNull())
+        .groupBy("product_id", _word("warehouse_id").alias("word"))
+        .agg(F.bit_or(_bit("warehouse_id")).alias("bits"))
+        .groupBy("product_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("held"))
     )
-    wanted = products.filter("is_active").select(
-        "product_id", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)).alias("slice")
-    )
-    none_held = F.array().cast("array<bigint>")
+    none = F.lit(0).cast("bigint")
+
+    def left(entry: Column) -> Column:
+        stocked = F.coalesce(F.try_element_at("held", entry["word"]), none)
+        return F.struct(entry["word"].alias("word"), entry["bits"].bitwiseAND(F.bitwise_not(stocked)).alias("bits"))
+
+    open_words = F.filter(F.transform("every", left), lambda entry: F.bit_count(entry["bits"]) > 0)
+    set_bits = F.expr(f"filter(sequence(0, {_WORD_BITS - 1}), b -> shiftright(open.bits, b) & 1L = 1L)")
     return (
-        wanted.join(listed, "slice")
-        .join(stocked, ["product_id", "slice"], "left")
-        .select(
-            F.explode(F.array_except("every", F.coalesce("held", none_held))).alias("warehouse_id"),
-            "product_id",
-        )
+        products.filter("is_active")
+        .select("product_id")
+        .join(held, "product_id", "left")
+        .withColumn("every", every)
+        .select("product_id", F.explode(open_words).alias("open"))
+        .select("product_id", F.col("open.word").alias("word"), F.explode(set_bits).alias("place"))
+        .select((F.col("word") * _WORD_BITS + F.col("place")).alias("warehouse_id"), "product_id")
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from depotflow.functions import columns as X
-from depotflow.model import LEDGER_BRANCH, RETURN_REASONS, TABLES
+from depotflow.model import LEDGER_BRANCH, PRIMARY_KEYS, REFERENCES, RETURN_REASONS, TABLES, VALUE_RULES
 from depotflow.sources.relations import Relations
 
 # --- fixed values -----------------------------------------------------------------------
@@ -558,6 +558,45 @@ def corrupted_movements(movements: DataFrame) -> DataFrame:
     )
 
 
+def faulty_copies(frame: DataFrame, faults: list[tuple[str, str]], chosen: Column) -> DataFrame:
+    """A frame and, of every chosen row, one copy per fault, with that column replaced by a SQL
+    value, and one without any."""
+    arms: dict[str, str] = {}
+    for number, (column, value) in enumerate(faults):
+        arms[column] = arms.get(column, "") + f" WHEN {number} THEN {value}"
+    kinds = {field.name: field.dataType.simpleString() for field in frame.schema.fields}
+    columns = [
+        f"CAST(CASE fault{arms[name]} ELSE {name} END AS {kinds[name]}) AS {name}" if name in arms else name
+        for name in frame.columns
+    ]
+    copies = frame.filter(chosen).withColumn("fault", F.explode(F.sequence(F.lit(0), F.lit(len(faults)))))
+    return frame.unionByName(copies.selectExpr(*columns))
+
+
+def _faults_of(table: str) -> list[tuple[str, str]]:
+    """What breaks each rule of a table: missing values, references to nothing, and values out of range."""
+    faults = [(field.name, "NULL") for field in TABLES[table].fields if not field.nullable]
+    faults += [(ref.column, "-1") for ref in REFERENCES if ref.child == table]
+    for rule in VALUE_RULES.get(table, ()):
+        faults.append((rule.split()[0], "'BOGUS'" if " IN (" in rule else "-1"))
+    return faults
+
+
+def every_97th(frame: DataFrame, key: str) -> Column:
+    """Rows whose key is divisible by 97, and those with the least key."""
+    return (F.col(key) % 97 == 0) | (F.col(key) == frame.agg(F.min(key)).scalar())
+
+
+def broken_tables(tables: Relations) -> Relations:
+    """The operational tables with rows that break each of their rules."""
+    return tables.extended(
+        **{
+            name: faulty_copies(tables[name], _faults_of(name), every_97th(tables[name], key))
+            for name, key in PRIMARY_KEYS.items()
+        }
+    )
+
+
 _conformed: dict[tuple[str, str], Relations] = {}
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from depotflow.model import PRIMARY_KEYS, REFERENCES, TABLES, UNIQUE_KEYS, VALUE_RULES
+from depotflow.model import TABLES
 from depotflow.verification.oracle_views import with_views
 
 _AS_OF = "TIMESTAMP '2010-01-01'"
@@ -170,38 +170,125 @@ def _movement_audit(moves: str) -> str:
     )
 
 
-def _table_contract() -> str:
-    parts = [
-        _duplicates(f"pk {table}({key})", _table(table), key, f"{key} IS NOT NULL")
-        for table, key in PRIMARY_KEYS.items()
-    ]
-    for table, keys in UNIQUE_KEYS:
-        listed = ", ".join(keys)
-        present = " AND ".join(f"{key} IS NOT NULL" for key in keys)
-        parts.append(_duplicates(f"unique {table}({listed})", _table(table), listed, present))
-    parts += [
-        _orphans(
-            f"fk {r.child}({r.column}) -> {r.parent}",
-            _table(r.child), r.column, _table(r.parent), r.parent_key, False,
-        )
-        for r in REFERENCES
-    ]
-    parts += [
-        _where(f"check {table}: {rule}", _table(table), f"NOT ({rule})")
-        for table, rules in VALUE_RULES.items()
-        for rule in rules
-    ]
+# --- fixed values: columns (! not null, the first is the key), unique keys, references, checks --------
+
+_COLUMNS = {
+    "categories": "category_id! category_name! department!",
+    "customers": "customer_id! customer_segment! city! state! country! signup_date!",
+    "inventory": "inventory_id! warehouse_id! product_id! snapshot_date! opening_stock! received_quantity! sold_quantity!"
+    " returned_quantity! adjustment_quantity! closing_stock! reserved_quantity!",
+    "inventory_movements": "movement_id! warehouse_id! product_id! movement_type! quantity! movement_date! reference_id",
+    "order_items": "order_item_id! order_id! product_id! quantity! unit_price! discount! total_amount!",
+    "orders": "order_id! customer_id! warehouse_id order_date! order_status! payment_method order_value! shipping_city"
+    " shipping_state promised_delivery_date actual_delivery_date",
+    "products": "product_id! sku! product_name! category_id! brand unit_cost! selling_price! weight_kg reorder_point!"
+    " safety_stock! supplier_id is_active! created_at!",
+    "purchase_order_items": "po_item_id! po_id! product_id! ordered_quantity! received_quantity! unit_cost!",
+    "purchase_orders": "po_id! supplier_id! warehouse_id! po_date! expected_delivery_date! actual_delivery_date po_status!",
+    "returns": "return_id! order_id! order_item_id! product_id! return_date! return_quantity! return_reason! refund_amount!"
+    " return_status!",
+    "shipments": "shipment_id! order_id! warehouse_id! carrier shipment_status! shipped_at estimated_delivery_date"
+    " actual_delivery_date shipping_cost!",
+    "suppliers": "supplier_id! supplier_name! country! state city supplier_type rating default_lead_time_days! payment_terms"
+    " is_active! created_at!",
+    "warehouses": "warehouse_id! warehouse_name! city! state! country! warehouse_type capacity_units!"
+    " operating_cost_per_day! latitude longitude opened_at",
+}
+_UNIQUE = {"categories": "category_name", "inventory": "warehouse_id, product_id, snapshot_date", "products": "sku"}
+_PARENTS = {
+    "inventory": "product_id>products warehouse_id>warehouses",
+    "inventory_movements": "product_id>products warehouse_id>warehouses",
+    "order_items": "order_id>orders product_id>products",
+    "orders": "customer_id>customers warehouse_id>warehouses",
+    "products": "category_id>categories supplier_id>suppliers",
+    "purchase_order_items": "po_id>purchase_orders product_id>products",
+    "purchase_orders": "supplier_id>suppliers warehouse_id>warehouses",
+    "returns": "order_id>orders order_item_id>order_items product_id>products",
+    "shipments": "order_id>orders warehouse_id>warehouses",
+}
+_CHECKS = """
+inventory: closing_stock >= 0
+inventory: opening_stock >= 0
+inventory: received_quantity >= 0
+inventory: reserved_quantity >= 0
+inventory: returned_quantity >= 0
+inventory: sold_quantity >= 0
+inventory_movements: quantity > 0
+inventory_movements: movement_type IN ('PURCHASE_RECEIPT', 'SALE', 'RETURN', 'TRANSFER_IN', 'TRANSFER_OUT', 'DAMAGE', 'ADJUSTMENT')
+order_items: discount >= 0
+order_items: unit_price >= 0
+order_items: quantity > 0
+order_items: total_amount >= 0
+orders: order_status IN ('PLACED', 'CONFIRMED', 'PROCESSING', 'SHIPPED', 'DELIVERED', 'CANCELLED', 'RETURNED')
+orders: order_value >= 0
+products: unit_cost >= 0
+products: selling_price >= 0
+products: weight_kg IS NULL OR weight_kg >= 0
+products: reorder_point >= 0
+products: safety_stock >= 0
+purchase_order_items: ordered_quantity > 0
+purchase_order_items: unit_cost >= 0
+purchase_order_items: received_quantity >= 0 AND received_quantity <= ordered_quantity
+purchase_orders: po_status IN ('CREATED', 'CONFIRMED', 'PARTIALLY_RECEIVED', 'RECEIVED', 'CANCELLED')
+returns: refund_amount >= 0
+returns: return_quantity > 0
+returns: return_reason IN ('DAMAGED', 'DEFECTIVE', 'WRONG_ITEM', 'SIZE_ISSUE', 'CUSTOMER_CHANGED_MIND', 'LATE_DELIVERY', 'NOT_AS_EXPECTED')
+shipments: shipment_status IN ('CREATED', 'PACKED', 'SHIPPED', 'IN_TRANSIT', 'OUT_FOR_DELIVERY', 'DELIVERED', 'LOST', 'CANCELLED')
+shipments: shipping_cost >= 0
+suppliers: default_lead_time_days >= 0
+suppliers: rating IS NULL OR (rating >= 0 AND rating <= 5)
+warehouses: operating_cost_per_day >= 0
+warehouses: capacity_units >= 0
+"""
+# --- end of fixed values
+
+
+def _checks() -> list[tuple[str, str]]:
+    return [tuple(line.split(": ", 1)) for line in _CHECKS.strip().splitlines()]
+
+
+def _named(table: str) -> list[str]:
+    return [name.rstrip("!") for name in _COLUMNS[table].split()]
+
+
+def _required(table: str) -> list[str]:
+    return [name.rstrip("!") for name in _COLUMNS[table].split() if name.endswith("!")]
+
+
+def _with_copies(source: str, faults: list[tuple[str, str]], key: str) -> str:
+    """A relation and, of some of its rows, a copy for each fault and one without any."""
+    replaced = []
+    for name in dict.fromkeys(column for column, _ in faults):
+        arms = " ".join(f"WHEN {i} THEN {value}" for i, (column, value) in enumerate(faults) if column == name)
+        replaced.append(f"CASE fault {arms} ELSE {name} END AS {name}")
+    return f"""(SELECT * FROM {source} UNION ALL
+        SELECT * EXCLUDE (fault) REPLACE ({", ".join(replaced)}) FROM {source} CROSS JOIN range({len(faults) + 1}) f(fault)
+        WHERE {key} % 97 = 0 OR {key} = (SELECT min({key}) FROM {source}))"""
+
+
+def _broken(table: str) -> str:
+    faults = [(name, "NULL") for name in _required(table)]
+    faults += [(pair.split(">")[0], "-1") for pair in _PARENTS.get(table, "").split()]
+    faults += [(rule.split()[0], "'BOGUS'" if " IN (" in rule else "-1") for of, rule in _checks() if of == table]
+    return _with_copies(_table(table), faults, _named(table)[0])
+
+
+def _table_contract(held=_table) -> str:
+    parts = [_duplicates(f"pk {t}({_named(t)[0]})", held(t), _named(t)[0], f"{_named(t)[0]} IS NOT NULL") for t in _COLUMNS]
+    for table, listed in _UNIQUE.items():
+        present = " AND ".join(f"{key} IS NOT NULL" for key in listed.split(", "))
+        parts.append(_duplicates(f"unique {table}({listed})", held(table), listed, present))
+    for table, pairs in _PARENTS.items():
+        for column, parent in (pair.split(">") for pair in pairs.split()):
+            known = f"SELECT {_named(parent)[0]} FROM {held(parent)} k WHERE {_named(parent)[0]} IS NOT NULL"
+            parts.append(_where(f"fk {table}({column}) -> {parent}", f"{held(table)} c", f"{column} NOT IN ({known})"))
+    parts += [_where(f"check {t}: {rule}", f"{held(t)} c", f"NOT ({rule})") for t, rule in _checks()]
     return _union(parts)
 
 
-def _required_values() -> str:
+def _required_values(held=_table) -> str:
     return _union(
-        [
-            _where(f"not null {table}.{field.name}", _table(table), f"{field.name} IS NULL")
-            for table, schema in TABLES.items()
-            for field in schema.fields
-            if not field.nullable
-        ]
+        [_where(f"not null {t}.{name}", f"{held(t)} c", f"{name} IS NULL") for t in _COLUMNS for name in _required(t)]
     )
 
 
@@ -232,12 +319,30 @@ def _mart_checks() -> str:
     )
 
 
-def _declared_tests() -> str:
-    models = {
-        "stg_inventory_movements": "m1", "stg_inventory_daily_metrics": "m2", "stg_inventory_snapshot": "m3",
-        "fct_inventory_stockout_daily": "m4", "fct_supplier_performance": "m5",
-        "fct_order_delivery_performance_daily": "m6",
+_MODELS = {
+    "stg_inventory_movements": "m1", "stg_inventory_daily_metrics": "m2", "stg_inventory_snapshot": "m3",
+    "fct_inventory_stockout_daily": "m4", "fct_supplier_performance": "m5",
+    "fct_order_delivery_performance_daily": "m6",
+}
+
+
+def _broken_models() -> dict[str, str]:
+    wrong = {
+        "m1": ("movement_id", "movement_id movement_date warehouse_id product_id movement_type",
+               [("movement_type", "'BOGUS'"), ("warehouse_id", "-1"), ("product_id", "-1")]),
+        "m2": ("product_id", "warehouse_id product_id movement_date movement_count", []),
+        "m3": ("inventory_id", "inventory_id warehouse_id product_id snapshot_date stock_status", [("stock_status", "'BOGUS'")]),
+        "m4": ("warehouse_id", "snapshot_date warehouse_id", []),
+        "m5": ("supplier_id", "supplier_id supplier_name", []),
+        "m6": ("delivered_order_count", "delivery_date", []),
+    }
+    return {
+        model: _with_copies(view, [(c, "NULL") for c in wrong[view][1].split()] + wrong[view][2], wrong[view][0])
+        for model, view in _MODELS.items()
     }
+
+
+def _declared_tests(models: dict[str, str] = _MODELS) -> str:
     present = {
         "stg_inventory_movements": ["movement_id", "movement_date", "warehouse_id", "product_id", "movement_type"],
         "stg_inventory_daily_metrics": ["warehouse_id", "product_id", "movement_date", "movement_count"],
@@ -260,19 +365,21 @@ def _declared_tests() -> str:
         )
     ]
     parts += [
-        _orphans(f"relationships stg_inventory_movements.{column} -> {parent}", "m1", column, parent, column, False)
+        _orphans(
+            f"relationships stg_inventory_movements.{column} -> {parent}", models["stg_inventory_movements"], column, parent, column, False
+        )
         for column, parent in (("warehouse_id", "warehouses"), ("product_id", "products"))
     ]
     parts += [
         _where(
-            "accepted_values stg_inventory_movements.movement_type", "m1", f"movement_type NOT IN {_TYPES}"
+            "accepted_values stg_inventory_movements.movement_type", models["stg_inventory_movements"], f"movement_type NOT IN {_TYPES}"
         ),
         _where(
             "accepted_values stg_inventory_snapshot.stock_status",
-            "m3",
+            models["stg_inventory_snapshot"],
             "stock_status NOT IN ('STOCK_OUT', 'REORDER', 'HEALTHY')",
         ),
-        _duplicates("grain stg_inventory_daily_metrics", "m2", "warehouse_id, product_id, movement_date"),
+        _duplicates("grain stg_inventory_daily_metrics", models["stg_inventory_daily_metrics"], "warehouse_id, product_id, movement_date"),
     ]
     return _union(parts)
 
@@ -406,6 +513,9 @@ def _bodies() -> dict[str, str]:
             FROM {dirty}""",
         "dq_unpaired_transfers": _unpaired(dirty),
         "movement_audit_dirty": _movement_audit(dirty),
+        "dq_table_contract_dirty": _table_contract(_broken),
+        "dq_required_values_dirty": _required_values(_broken),
+        "dq_declared_tests_dirty": _declared_tests(_broken_models()),
         "dq_table_contract": _table_contract(),
         "dq_required_values": _required_values(),
         "dq_staging_keys": _staging_keys(),
@@ -525,6 +635,15 @@ def _bodies() -> dict[str, str]:
             WHERE NOT EXISTS (SELECT 1 FROM inventory_movements m
                               WHERE m.warehouse_id = i.warehouse_id AND m.product_id = i.product_id)
             GROUP BY 1, 2""",
+        "load_absent_twice": """
+            SELECT warehouse_id, product_id, min(movement_date)::DATE AS since, 'ledger' AS origin
+            FROM inventory_movements GROUP BY 1, 2
+            UNION ALL
+            SELECT warehouse_id, product_id, min(snapshot_date) AS since, 'snapshot'
+            FROM inventory i
+            WHERE NOT EXISTS (SELECT 1 FROM inventory_movements m
+                              WHERE m.warehouse_id = i.warehouse_id AND m.product_id = i.product_id)
+            GROUP BY 1, 2""",
         "parquet_roundtrip": "SELECT * FROM m1",
         "tsv_roundtrip": f"SELECT * FROM {dirty}",
         "publish_roundtrip": "SELECT * FROM m2",

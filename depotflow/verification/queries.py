@@ -22,6 +22,7 @@ from depotflow.operators import quality as Q
 from depotflow.operators import standardize as S
 from depotflow.plans import checks, commits, conform
 from depotflow.plans import publish as W
+from depotflow.plans.loads import load_absent, loaded
 from depotflow.plans.pipeline import RunConfig, declared_test_results, marts, run_pipeline
 from depotflow.plans.publish import publish, published
 from depotflow.session import scratch_path, stashed
@@ -290,6 +291,41 @@ def dq_required_values(tables):
     return checks.required_values(tables)
 
 
+@_query
+def dq_table_contract_dirty(tables):
+    return checks.table_contract(conform.broken_tables(tables))
+
+
+@_query
+def dq_required_values_dirty(tables):
+    return checks.required_values(conform.broken_tables(tables))
+
+
+@_query
+def dq_declared_tests_dirty(tables):
+    """The declared tests over staged relations and marts with rows that break each of them."""
+    enriched = m1_movements_processed(tables)
+    staged = {
+        "stg_inventory_movements": (enriched, "movement_id", "movement_id movement_date warehouse_id product_id movement_type"),
+        "stg_inventory_daily_metrics": (m2_daily_metrics(tables), "product_id", "warehouse_id product_id movement_date movement_count"),
+        "stg_inventory_snapshot": (m3_snapshot_enriched(tables), "inventory_id", "inventory_id warehouse_id product_id snapshot_date stock_status"),
+        "fct_inventory_stockout_daily": (m4_stockout_daily(tables), "warehouse_id", "snapshot_date warehouse_id"),
+        "fct_supplier_performance": (m5_supplier_performance(tables), "supplier_id", "supplier_id supplier_name"),
+        "fct_order_delivery_performance_daily": (m6_delivery_daily(_units_only(tables)), "delivered_order_count", "delivery_date"),
+    }
+    wrong = {
+        "stg_inventory_movements": [("movement_type", "'BOGUS'"), ("warehouse_id", "-1"), ("product_id", "-1")],
+        "stg_inventory_snapshot": [("stock_status", "'BOGUS'")],
+    }
+    broken = {
+        name: conform.faulty_copies(
+            frame, [(column, "NULL") for column in required.split()] + wrong.get(name, []), conform.every_97th(frame, key)
+        )
+        for name, (frame, key, required) in staged.items()
+    }
+    return declared_test_results(tables.extended(**broken))
+
+
 @_query
 def dq_staging_keys(tables):
     enriched = m1_movements_processed(tables)
@@ -451,9 +487,8 @@ def supplier_assortment(tables):
     return R.supplier_assortment(tables["suppliers"], tables["products"])
 
 
-@_query
-def insert_if_absent(tables):
-    """Positions known from movements, completed by those only the stock snapshots know."""
+def _known_positions(tables: Relations) -> tuple[DataFrame, DataFrame]:
+    """Positions known from movements, and those of the stock snapshots."""
     moved = (
         tables["inventory_movements"]
         .groupBy("warehouse_id", "product_id")
@@ -466,7 +501,24 @@ def insert_if_absent(tables):
         F.col("snapshot_date").alias("since"),
         F.lit("snapshot").alias("origin"),
     )
-    return R.insert_if_absent(moved, stocked, ["warehouse_id", "product_id"], ["since"])
+    return moved, stocked
+
+
+@_query
+def insert_if_absent(tables):
+    """Positions known from movements, completed by those only the stock snapshots know."""
+    return R.insert_if_absent(*_known_positions(tables), ["warehouse_id", "product_id"], ["since"])
+
+
+@_query_with_session
+def load_absent_twice(spark, root):
+    """The same by loads into a target, the second of them run twice."""
+    moved, stocked = _known_positions(conform.conformed(spark, root))
+    target, keys = scratch_path(spark, "positions"), ["warehouse_id", "product_id"]
+    load_absent(spark, target, "movements", moved, keys, ["since"])
+    for _ in range(2):
+        load_absent(spark, target, "snapshots", stocked, keys, ["since"])
+    return loaded(spark, target, moved.schema)
 
 
 # --- reading back what was written ---------------------------------------------------------------------

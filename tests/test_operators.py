@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -18,7 +19,10 @@ from depotflow.operators import movement_audit as A
 from depotflow.operators import profiles as P
 from depotflow.operators import quality as Q
 from depotflow.operators import standardize as S
-from depotflow.plans import checks
+from depotflow.operators.rules import HasRows, Never, Refers, Unique, compiled
+from depotflow.plans import checks, commits, loads
+from depotflow.session import scratch_path
+from depotflow.sources.files import write_dataset
 
 NOON = datetime(2024, 5, 6, 12)
 
@@ -295,9 +299,74 @@ def test_missing_positions_match_brute_force(spark):
         dict(warehouse_id=0, product_id=5, snapshot_date=other),
     )
     wanted = {(w, p) for w in range(40) for p in range(30) if p % 4} - set(held)
-    for list_size in (1000, 40, 7):
-        got = rows(R.missing_positions(sites, goods, stock, F.lit(day), list_size))
-        assert len(got) == len(set(got)) and set(got) == wanted
+    missing = R.missing_positions(sites, goods, stock, F.lit(day))
+    got = rows(missing)
+    assert len(got) == len(set(got)) and set(got) == wanted
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_missing_positions_of_many_and_odd_warehouse_numbers(spark):
+    ids = [-65, -64, -1, 0, 1, 63, 64, 127, 128, 5_000, 2**40, 2**62]
+    sites = table(spark, "warehouses", *[dict(warehouse_id=i) for i in ids], dict(warehouse_id=None))
+    goods = table(spark, "products", *[dict(product_id=i, is_active=True) for i in (1, 2, 3)])
+    day = date(2024, 1, 31)
+    held = [(w, 1) for w in ids] + [(w, 2) for w in ids[::2]] + [(77, 2), (None, 2)]
+    stock = table(spark, "inventory", *[dict(warehouse_id=w, product_id=p, snapshot_date=day) for w, p in held])
+    got = rows(R.missing_positions(sites, goods, stock, F.lit(day)))
+    assert sorted(got) == sorted([(w, 2) for w in ids[1::2]] + [(w, 3) for w in ids])
+    assert R.missing_positions(sites.limit(0), goods, stock, F.lit(day)).collect() == []
+
+
+def test_rules_agree_with_single_checks(spark):
+    left = spark.createDataFrame(
+        [(1, "a", 1, date(2024, 1, 1)), (1, "b", 2, None), (2, None, 9, date(2024, 1, 1)), (None, "c", None, None),
+         (None, "c", 9, None), (3, "a", 9, None)],
+        "id bigint, name string, ref int, day date",
+    )
+    right = spark.createDataFrame([(1,), (2,), (2,), (None,)], "key bigint")
+    none = left.limit(0)
+    rules = [
+        Unique("id", "left", ("id",)), Unique("id with nulls", "left", ("id",), skip_nulls=False), Unique("name", "left", ("name",)),
+        Unique("pair", "left", ("id", "day"), skip_nulls=False), Unique("mixed", "left", ("id", "name"), skip_nulls=False),
+        Unique("key", "right", ("key",)), Refers("ref", "left", "ref", "right", "key"),
+        Refers("ref or null", "left", "ref", "right", "key", null_is_violation=True), Never("low", "left", F.col("ref") < 2),
+        Never("null name", "left", F.col("name").isNull()), HasRows("left has rows", "left"), HasRows("none has rows", "none"),
+        Never("never", "none", F.lit(True)), Refers("back", "right", "key", "left", "id"),
+    ]
+    result = compiled({"left": left, "right": right, "none": none}, rules)
+    assert {r[0]: r[1] for r in result.collect()} == {
+        "id": 1, "id with nulls": 2, "name": 2, "pair": 1, "mixed": 1, "key": 1, "ref": 3, "ref or null": 4, "low": 1,
+        "null name": 1, "left has rows": 0, "none has rows": 1, "never": 0, "back": 0,
+    }
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 4  # each table once, and the list of rules
+
+
+def test_a_load_is_done_once(spark):
+    root = scratch_path(spark, "test-load")
+    schema = "k bigint, v string"
+    first = spark.createDataFrame([(1, "b"), (1, "a"), (2, "x")], schema)
+    assert loads.load_absent(spark, root, "one", first, ["k"], ["v"]) == 2
+    assert loads.load_absent(spark, root, "one", first, ["k"], ["v"]) == 0  # skipped: it is in the log
+    write_dataset(first, f"{root}/loads/killed")  # a load that died before its commit: nobody reads it
+    second = spark.createDataFrame([(2, "y"), (3, "z")], schema)
+    assert loads.load_absent(spark, root, "two", second, ["k"]) == 1
+    assert loads.load_absent(spark, root, "three", second, ["k"]) == 0
+    assert rows(loads.loaded(spark, root, first.schema)) == [(1, "a"), (2, "x"), (3, "z")]
+    assert [c.run for c in commits.history(spark, root)] == ["one", "two", "three"]
+
+
+def test_loads_at_the_same_time_add_no_key_twice(spark):
+    root = scratch_path(spark, "test-loads")
+    frame = spark.createDataFrame([(i, "x") for i in range(50)], "k bigint, v string")
+    added = []
+    threads = [threading.Thread(target=lambda i=i: added.append(loads.load_absent(spark, root, f"l{i}", frame, ["k"]))) for i in range(3)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(added) == [0, 0, 50] and loads.loaded(spark, root, frame.schema).count() == 50
 
 
 def test_purchase_consistency_and_costs(spark):

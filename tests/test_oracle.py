@@ -60,3 +60,9 @@ def test_clean_ledger_has_no_faults(spark):
     for name in ("dq_referential", "dq_movements", "dq_purchase_refs", "dq_sale_refs", "dq_return_refs",
                  "dq_transfers", "dq_adjustments", "dq_declared_tests", "dq_table_contract", "dq_required_values"):
         assert QUERIES[name](spark, root).filter("violations <> 0").collect() == []
+
+
+@pytest.mark.parametrize(("name", "count"), [("dq_table_contract_dirty", 67), ("dq_required_values_dirty", 87), ("dq_declared_tests_dirty", 28)])
+def test_every_check_can_fire(spark, name, count):
+    found = QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == count and [row["check"] for row in found if row["violations"] == 0] == []
