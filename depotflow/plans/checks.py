@@ -24,6 +24,7 @@ from depotflow.model import (
     Contract,
 )
 from depotflow.operators import movement_audit as A
+from depotflow.operators import probes
 from depotflow.operators import profiles as P
 from depotflow.operators import quality as Q
 from depotflow.operators.rules import Never, Refers, Rule, Unique, compiled
@@ -114,6 +115,32 @@ def movement_checks(movements: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def movement_probes(movements: DataFrame, as_of: Column) -> list[probes.Probe]:
+    """The faults of :func:`movement_checks` as probes: row faults in one scan, then duplicated ids."""
+    return [
+        probes.repeated_keys("duplicate movement ids", movements, ["movement_id"]),
+        probes.faulty_rows("faulty movement rows", movements, movement_conditions(as_of), ["movement_id", "warehouse_id", "product_id"]),
+    ]
+
+
+def reference_probes(relations: Relations) -> list[probes.Probe]:
+    """A probe per declared pair of child and parent; the child's key is shown where the relation has it."""
+    found = []
+    for child, column, parent in SOURCE_REFERENCES:
+        rows, key = relations[child], PRIMARY_KEYS[child]
+        found.append(
+            probes.orphans(
+                f"{child} without {parent}",
+                rows,
+                column,
+                relations[parent],
+                PRIMARY_KEYS[parent],
+                key if key in rows.columns else None,
+            )
+        )
+    return found
+
+
 def faulty_movements(movements: DataFrame, as_of: Column) -> DataFrame:
     """The movement rows with a fault of their own, and which faults they show."""
     faults = F.filter(

