@@ -43,6 +43,14 @@ def stash(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def free_name(frame: DataFrame, wanted: str) -> str:
+    """The wanted column name, with underscores behind it until no column has it."""
+    taken = {name.lower() for name in frame.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def tokenizer_path(name: str) -> str:
     """The file of a public tokenizer on this machine."""
     import public_tokenizers

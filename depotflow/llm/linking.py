@@ -13,6 +13,8 @@ from depotflow.llm.common import sorted_groups, stash
 
 #: Members of a bucket that one task compares at a time; larger buckets are split in blocks.
 BLOCK = 2048
+#: Links of a node that meet in one task, and how many nodes may have more: theirs is a list of bounded size.
+COLD_LINKS, MOST_HOT = 256, 100_000
 
 
 def _forest(count: int, near: Callable[[int, np.ndarray], np.ndarray]) -> tuple[list[int], list[int]]:
@@ -93,7 +95,8 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every linked node; the root is the smallest node of its component.
 
     Alternating star contraction: each round points nodes at the smallest neighbour, using
-    partially aggregated minima and joins only, so a node with very many links is no burden.
+    partially aggregated minima and joins only. Links of a node that has very many stay where they
+    are: its minimum is sent to them.
     """
     edges = stash(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
@@ -101,7 +104,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     before = _digest(edges)
     while True:
-        edges = stash(_small_star(_large_star(edges)), "links")
+        cold = max(COLD_LINKS, -(-2 * before[0] // MOST_HOT))
+        edges = stash(_small_star(_large_star(edges, cold), cold), "links")
         after = _digest(edges)
         if after == before:
             break
@@ -117,13 +121,30 @@ def _digest(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), total).first())
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _with_least(links: DataFrame, cold: int) -> DataFrame:
+    """(u, v, m): links with the smallest ``v`` of their ``u``.
+
+    The minima of nodes with over ``cold`` links are broadcast, so that such a node is never one task's
+    work. A round has at most twice as many rows as there were links before it, and ``cold`` is at
+    least that over ``MOST_HOT``: the broadcast has at most that many rows of 16 bytes.
+    """
+    least = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    hot = least.filter(F.col("n") > cold).select("u", F.col("m").alias("hot"))
+    marked = links.select("u", "v").join(F.broadcast(hot), "u", "left")
+    few = least.filter(F.col("n") <= cold).select("u", "m")
+    return (
+        marked.filter("hot IS NULL").select("u", "v").join(few, "u").select("u", "v", "m")
+        .unionByName(marked.filter("hot IS NOT NULL").select("u", "v", F.col("hot").alias("m")))
+    )
+
+
+def _large_star(edges: DataFrame, cold: int) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    larger = _with_least(both, cold).filter("v > u")
+    return larger.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+def _small_star(edges: DataFrame, cold: int) -> DataFrame:
+    """Every smaller neighbour, and the node itself in place of the smallest, points at the smallest."""
+    least = F.col("v") == F.col("m")
+    return _with_least(edges, cold).select(F.when(least, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from depotflow.llm.common import WordHashes, lower_words, map_batches, mix, run_hashes, stash
+from depotflow.llm.common import WordHashes, free_name, lower_words, map_batches, mix, run_hashes, stash
 from depotflow.llm.linking import bucket_links, components
 
 SEED = 42
@@ -227,16 +227,14 @@ def _verified_links(docs: DataFrame, candidates: DataFrame, shingle: int, simila
     return bucket_links(sets, _jaccard_near(candidate_minimum(similarity), similarity), VERIFIED_BLOCK)
 
 
-def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, component_id) of every document, linked by chains of similar texts.
-
-    The similarity is the Jaccard similarity of shingle sets, counted on 64-bit hashes of the
-    shingles. Equal bytes only find the candidates for that. Texts without words are equal.
-    """
+def _grouped(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(doc_id, text_key, component_id, first_key) of every document; the smallest non-NULL doc_id of a
+    group and, of its texts, the one with the smallest key name the document that stands for the group."""
     found = stash(signatures(docs, shingle), "signatures")
+    named_row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))
     distinct = stash(
         found.groupBy("node").agg(
-            F.min("doc_id").alias("least"), F.first("sig").alias("sig"), F.max(F.struct("doc_id", "text_key")).alias("text_of")
+            F.min(named_row).alias("least"), F.first("sig").alias("sig"), F.max(F.struct("doc_id", "text_key")).alias("text_of")
         ),
         "shingle-nodes",
     )
@@ -249,19 +247,36 @@ def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.
     candidates = distinct.join(groups, "node").select("node", "sig", "root", "text_of")
     roots = components(_verified_links(docs, candidates, shingle, similarity))
     rooted = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(component, "root").select("node", "component_id")
-    return found.select("doc_id", "node").join(named, "node").select("doc_id", "component_id")
+    component = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = rooted.select("node", "root").join(component, "root").select("node", "first")
+    return found.select("doc_id", "text_key", "node").join(named, "node").select(
+        "doc_id", "text_key", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key")
+    )
+
+
+def similar_components(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(doc_id, component_id) of every document, linked by chains of similar texts.
+
+    The similarity is the Jaccard similarity of shingle sets, counted on 64-bit hashes of the
+    shingles. Equal bytes only find the candidates for that. Texts without words are equal.
+    """
+    return _grouped(docs, shingle, similarity).select("doc_id", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id.
 
-    Of repeated rows with the kept id one stays. Rows with a NULL doc_id cannot be named as
-    copies of another and stay. Columns and their order stay as they are.
+    Documents are told apart by id and text: of rows that share an id, each text is judged by itself, and of
+    several texts with the smallest id of a group one stays. Of repeated rows of that document one stays.
+    Rows with a NULL doc_id cannot be named as copies of another and stay. Columns and their order
+    stay as they are.
     """
-    grouped = similar_components(docs, shingle, similarity)
-    dropped = grouped.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
-    return kept.withColumn("__alone__", alone).dropDuplicates(["doc_id", "__alone__"]).drop("__alone__")
+    grouped = _grouped(docs, shingle, similarity).filter("doc_id IS NOT NULL")
+    copies = grouped.filter((F.col("doc_id") != F.col("component_id")) | (F.col("text_key") != F.col("first_key")))
+    dropped = copies.select(F.col("doc_id").alias("copy_id"), F.col("text_key").alias("copy_key")).distinct()
+    own, alone = free_name(docs, "__text_key__"), free_name(docs, "__alone__")
+    keyed = docs.withColumn(own, F.xxhash64("text"))
+    is_copy = (keyed["doc_id"].cast("bigint") == dropped["copy_id"]) & (keyed[own] == dropped["copy_key"])
+    kept = keyed.join(dropped, is_copy, "left_anti")
+    kept = kept.withColumn(alone, F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()))
+    return kept.dropDuplicates(["doc_id", own, alone]).select(*docs.columns)
