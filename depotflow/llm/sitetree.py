@@ -32,8 +32,8 @@ LEAST_IMPORTANCE, LEAST_BESIDE, CONTENT_WEIGHT = 0.35, 0.6, 0.9
 #: many pages that is worth.
 PRIOR_MAIN, PRIOR_BESIDE, PRIOR_OTHER, PRIOR_PAGES = 1.0, 0.0, 0.6, 8
 
-#: Parts into which the pages of every host are dealt for the join with its list of nodes.
-HOST_PARTS = 64
+#: Pages of a part of a large host, whose parts each get its list of nodes; and how many hosts are large at most.
+PART_PAGES, LARGE_HOSTS = 1_000, 500_000
 
 # --- fixed values
 BLOCK_TAGS = frozenset(
@@ -341,16 +341,34 @@ def _verdicts(rows: DataFrame) -> DataFrame:
     )
 
 
+def _large_hosts(rows: DataFrame) -> DataFrame:
+    """(key, parts) of the hosts that are dealt out in parts, by a hash of the host.
+
+    A host is large if it has more than ``PART_PAGES`` pages and more than its share of ``LARGE_HOSTS``: no
+    more than that many hosts can, so the list has a bound of 16 bytes for each.
+    """
+    least = max(PART_PAGES, -(-rows.count() // LARGE_HOSTS))
+    counted = rows.groupBy(F.xxhash64("host").alias("key")).count().filter(F.col("count") > least)
+    return counted.select("key", F.ceil(F.col("count") / PART_PAGES).cast("int").alias("parts"))
+
+
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) of every page; a page without text has an empty one.
 
     A NULL url belongs to the nameless host. Repeated rows come back as often as they went in.
     """
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    lists = _verdicts(rows)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(HOST_PARTS)).cast("int"))
-    parts = F.explode(F.sequence(F.lit(0), F.lit(HOST_PARTS - 1)))
-    joined = salted.join(lists.withColumn("salt", parts), ["host", "salt"], "left").select(
+    large = F.broadcast(_large_hosts(rows))
+
+    def with_parts(frame: DataFrame) -> DataFrame:
+        """With the number of parts of the host."""
+        keyed = frame.withColumn("key", F.xxhash64("host")).join(large, "key", "left")
+        return keyed.withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+    # any part will do for a page, as each gets the list: pages take turns, repeated rows too
+    salted = with_parts(rows).withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.col("parts")).cast("int"))
+    lists = with_parts(_verdicts(rows)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    joined = salted.join(lists.select("host", "salt", "unimportant", "important"), ["host", "salt"], "left").select(
         "page_id", "url", "html", "unimportant", "important"
     )
 
