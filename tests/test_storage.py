@@ -325,6 +325,17 @@ def test_run_stops_at_the_first_failing_gate(spark, written_tables):
         L.run_pipeline(spark, partial, config)
 
 
+def test_movement_gate_can_stop_at_the_first_faulty_row(spark, written_tables):
+    folder = scratch_path(spark, "test-first")
+    config = L.RunConfig(f"{folder}/processed", f"{folder}/published", AS_OF, stop_at_first=True)
+    moves = written_tables["inventory_movements"]
+    twice = moves.unionByName(moves.orderBy("movement_id").limit(1))
+    for dirty, fault in ((conform.corrupted_movements(moves), ".*: movement_id="), (twice, "duplicate movement ids: movement_id=")):
+        with pytest.raises(L.PipelineError, match=f"data-quality gate' failed: {fault}"):
+            L.run_pipeline(spark, written_tables.extended(inventory_movements=dirty), config)
+    assert not storage.exists(spark, folder)
+
+
 def test_model_is_complete():
     from depotflow.model import REFERENCES, UNIQUE_KEYS, VALUE_RULES
 
