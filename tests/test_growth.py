@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from conftest import rows
+
+from depotflow.operators import inventory as I
 from depotflow.plans import conform
 
 ROOT = "/root/testdata/sf0.001"
@@ -23,3 +26,28 @@ def test_positions_of_one_small_file_are_made_by_many_tasks(spark):
     made_by = conform.conformed(spark, ROOT)["inventory"].groupBy(F.spark_partition_id().alias("task")).count()
     counts = [row["count"] for row in made_by.collect()]
     assert len(counts) == 8 and max(counts) < 2 * min(counts)
+
+
+def test_daily_metrics_aggregate_the_ledger_on_three_keys_only(spark):
+    """The rows of the ledger meet one aggregation, in two halves; the others are of the dimensions."""
+    tables = conform.conformed(spark, ROOT)
+    plan = plan_of(I.daily_metrics_from_sources(tables["inventory_movements"], tables["products"], tables["warehouses"], tables["categories"]))
+    assert plan.count("sum(inbound_quantity") == 0 and "keys=[warehouse_id" in plan
+
+
+def test_daily_metrics_count_repeated_dimension_rows_as_often(spark):
+    """Products, categories and warehouses that are there twice, with the same names or others."""
+    tables = conform.conformed(spark, ROOT)
+    moves = tables["inventory_movements"].filter("product_id < 40").unionByName(
+        tables["inventory_movements"].limit(50).selectExpr("movement_id", "CAST(NULL AS BIGINT) AS warehouse_id", "-1L AS product_id", *tables["inventory_movements"].columns[3:])
+    ).localCheckpoint()
+    dims = []
+    for name, other in (("products", "product_name"), ("warehouses", "warehouse_name"), ("categories", "category_name")):
+        frame = tables[name]
+        key = frame.columns[0]
+        renamed = frame.filter(F.col(key) % 3 == 0).withColumn(other, F.lit("other"))
+        dims.append(frame.unionByName(frame.filter(F.col(key) % 2 == 0)).unionByName(renamed).localCheckpoint())
+    wanted = I.daily_metrics(I.enriched_movements(moves, *dims))
+    found = I.daily_metrics_from_sources(moves, *dims)
+    assert found.dtypes == wanted.dtypes
+    assert rows(found) == rows(wanted) and found.count() > 100
