@@ -3,8 +3,8 @@
 Documents are cut into overlapping passages, for each power of two of the lengths of items anew,
 so that every item of the benchmark lies wholly within a passage of at most about five times its
 own length (or of 32 words), whatever the lengths of other items. Passages and items are TF-IDF vectors over the words of the items,
-with document frequencies over all documents. A randomised SVD, fitted by distributed sums over
-a bounded sample of passages and the items themselves, gives a latent space. Every passage of
+with document frequencies over all documents. A randomised SVD, fitted on how many passages of all
+documents hold each two terms, and on the items themselves, gives a latent space. Every passage of
 every document is projected and compared with every item by cosine; pairs above a low bound are
 candidates. A candidate is a leak if a longest common subsequence of words covers most of the
 item (so that inserted, dropped and replaced words do not hide it) and most of the item's
@@ -29,8 +29,10 @@ from pyspark.sql import functions as F
 from depotflow.llm.common import map_batches, merge_counters
 from depotflow.llm.textarrays import slices
 
-#: Items of one block; documents that the latent space is fitted on; its dimensions.
-BLOCK_ITEMS, SAMPLE_DOCS, DIMENSIONS, OVERSAMPLE = 256, 3000, 288, 16
+#: Items of one block; dimensions of the latent space.
+BLOCK_ITEMS, DIMENSIONS, OVERSAMPLE = 256, 288, 16
+#: Pairs of terms that a task holds at once, and rows of the probe it multiplies at once.
+HELD_PAIRS, PROBE_ROWS = 4_000_000, 16_384
 LEAST_COSINE, LEAST_SEQUENCE, LEAST_ANSWER = 0.2, 0.65, 0.6
 #: Words from the start of a passage to the next, at least, and as a multiple of the longest item.
 LEAST_STRIDE, SLACK = 16, 1.25
@@ -108,12 +110,18 @@ def _document_counts(docs: DataFrame, items: Items) -> tuple[np.ndarray, int]:
     return totals[:-1], int(totals[-1])
 
 
-def _passages(numbers: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each term of each passage once: (passage, term), sorted. Passage p starts at p * stride."""
-    at = np.flatnonzero(numbers >= 0)
-    home, term = at // stride, numbers[at]
-    both = np.concatenate((home, home[home > 0] - 1)), np.concatenate((term, term[home > 0]))
-    codes = np.unique(both[0] << 32 | both[1])
+def _passages_of(found: list[np.ndarray], weighted: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each term that weighs something, of each passage of several texts once: (passage, term), sorted.
+
+    Passages start a stride apart and are numbered through, every text with one of its own."""
+    sizes = np.array([len(number) for number in found])
+    base = np.cumsum(sizes // stride + 1) - (sizes // stride + 1)
+    flat = np.concatenate(found)
+    at = np.flatnonzero(weighted[flat])
+    text = np.repeat(np.arange(len(found)), sizes)[at]
+    place, term = (at - (np.cumsum(sizes) - sizes)[text]) // stride, flat[at]
+    home, inner = place + base[text], place > 0
+    codes = np.unique(np.concatenate((home, home[inner] - 1)) << 32 | np.concatenate((term, term[inner])))
     return codes >> 32, codes & (2**32 - 1)
 
 
@@ -132,30 +140,84 @@ def _grouped_sums(rows: np.ndarray, picked: np.ndarray, starts: np.ndarray) -> n
     return out
 
 
+def _pairs(passage: np.ndarray, term: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """Every two terms of a passage, and each with itself, as lesser * width + greater, from sorted
+    (passage, term); some passages at a time."""
+    if not len(passage):
+        return
+    starts = np.flatnonzero(np.diff(passage, prepend=-1))
+    sizes = np.diff(np.append(starts, len(passage)))
+    ends = np.append(starts, len(passage))
+    part = np.cumsum(sizes * (sizes + 1) // 2) // HELD_PAIRS
+    cuts = ends[np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [len(starts)]))]
+    partners = np.repeat(ends[1:], sizes) - np.arange(len(term))  # from a term to the last of its passage
+    for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+        many = partners[first:last]
+        own = np.repeat(np.arange(first, last), many)
+        ahead = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+        yield term[own] * width + term[own + ahead]
+
+
+def _pair_counts(docs: DataFrame, items: Items, weighted: np.ndarray) -> DataFrame:
+    """(pair, passages): how many passages of all documents hold each two weighted terms."""
+    width = len(items.terms)
+
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], ["pair", "passages"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for part in slices([len(t or "") for t in texts], 2_000_000):
+                found = [_numbers(texts[i], items.terms) for i in part]
+                for stride, _ in items.classes:
+                    for codes in _pairs(*_passages_of(found, weighted, stride), width):
+                        held.append(codes)
+                        size += len(codes)
+                        if size >= HELD_PAIRS:
+                            yield counted(held)
+                            held, size = [], 0
+        if held:
+            yield counted(held)
+
+    parts = docs.select("text").mapInArrow(run, "pair bigint, passages bigint")
+    return parts.groupBy("pair").agg(F.sum("passages").alias("passages"))
+
+
+def _add_pairs(total: np.ndarray, codes: np.ndarray, counts: np.ndarray, weights: np.ndarray, probe: np.ndarray) -> None:
+    """Adds A'(A probe) for passages given as counts of pairs of terms."""
+    low, high = np.divmod(codes, len(weights))
+    value = counts * weights[low] * weights[high]
+    apart = low != high
+    low, high, value = np.append(low, high[apart]), np.append(high, low[apart]), np.append(value, value[apart])
+    order = np.argsort(low, kind="stable")
+    for first in range(0, len(order), PROBE_ROWS):
+        own = order[first : first + PROBE_ROWS]
+        starts = np.flatnonzero(np.diff(low[own], prepend=-1))
+        total[low[own][starts]] += np.add.reduceat(value[own, None] * probe[high[own]], starts, axis=0)
+
+
 def _fit_space(docs: DataFrame, items: Items, weights: np.ndarray, dimensions: int) -> np.ndarray:
-    """Right singular vectors of the TF-IDF matrix of sampled passages and all items, one per
-    column, by a randomised sketch: tasks add up A'AX for a fixed random X."""
+    """Right singular vectors of the TF-IDF matrix of the passages of all documents and all items, one
+    per column, by a randomised sketch: A'AX for a fixed random X.
+
+    A'A are the counts of pairs of terms by their weights, so what follows the counting is bounded by the items.
+    """
     width = min(len(weights), dimensions + OVERSAMPLE)
     probe = np.random.default_rng(11).standard_normal((len(weights), width)).astype(np.float32)
-    sampled = docs.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(sampled), "doc_id")
-    sample = sample.groupBy("doc_id").agg(F.max("text").alias("text")).select("text")  # bounded even if rows are repeated
-
     weighted = np.append(weights > 0, False)  # -1, no term, is the last place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(weights), width))
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found = _numbers(text, items.terms)
-                found[~weighted[found]] = -1  # what weighs nothing adds nothing
-                if (found >= 0).any():
-                    for stride, _ in items.classes:
-                        passage, term = _passages(found, stride)
-                        _add_outer(total, passage, term, weights, probe)
+            _add_pairs(total, batch.column(0).to_numpy(), batch.column(1).to_numpy(), weights, probe)
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["slot", "data"])
 
-    parts = sample.repartition(8).mapInArrow(run, "slot bigint, data binary")
+    pairs = _pair_counts(docs, items, weighted).coalesce(8)
+    parts = pairs.mapInArrow(run, "slot bigint, data binary")
     sketch = np.zeros((len(weights), width))
     for _, data in merge_counters(parts, 1, "float64").collect():  # one row, terms x dimensions
         sketch += np.frombuffer(data, np.float64).reshape(sketch.shape)
