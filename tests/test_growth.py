@@ -8,6 +8,7 @@ from conftest import rows
 
 from depotflow.operators import inventory as I
 from depotflow.plans import conform
+from depotflow.verification import queries
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -51,3 +52,14 @@ def test_daily_metrics_count_repeated_dimension_rows_as_often(spark):
     found = I.daily_metrics_from_sources(moves, *dims)
     assert found.dtypes == wanted.dtypes
     assert rows(found) == rows(wanted) and found.count() > 100
+
+
+def test_published_metrics_are_made_of_the_staged_movements(spark, monkeypatch):
+    """Lines are numbered and met with orders for the movements alone, not for the metrics again."""
+    staged = []
+    stage = queries.W.Run.stage
+    monkeypatch.setattr(queries.W.Run, "stage", lambda run, name, frame, *rest: staged.append((name, plan_of(frame))) or stage(run, name, frame, *rest))
+    live = queries._published(spark, ROOT)
+    plans = dict(staged)
+    assert set(plans) == set(live.names()) and "lineitem" not in plans["inventory_daily_metrics"]
+    assert "l_orderkey" in plans["inventory_movements_processed"] and "l_orderkey" not in plans["inventory_daily_metrics"]
