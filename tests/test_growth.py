@@ -63,3 +63,23 @@ def test_published_metrics_are_made_of_the_staged_movements(spark, monkeypatch):
     plans = dict(staged)
     assert set(plans) == set(live.names()) and "lineitem" not in plans["inventory_daily_metrics"]
     assert "l_orderkey" in plans["inventory_movements_processed"] and "l_orderkey" not in plans["inventory_daily_metrics"]
+
+
+def test_lines_are_numbered_in_one_shuffle(spark):
+    """No grouping by all columns comes before the buckets, which are all that lines are dealt out by."""
+    lineitem = spark.read.parquet(f"{ROOT}/lineitem.parquet")
+    plan = plan_of(conform.numbered_lines(lineitem))
+    assert plan.count("Exchange hashpartitioning(bucket") == 1 and plan.count("Exchange") == 1 and "Aggregate" not in plan
+
+
+def test_faulty_copies_read_their_rows_once(spark):
+    """Rows that are not chosen stay as they are, also where the choice is unknown; the copies cost no second pass."""
+    frame = spark.read.parquet(f"{ROOT}/supplier.parquet").selectExpr("nullif(s_suppkey, 3) AS id", "s_name AS name")
+    broken = conform.faulty_copies(frame, [("id", "-1"), ("name", "NULL")], F.col("id") % 2 == 0)
+    assert plan_of(broken).count("Scan parquet") == 1
+    wanted = []
+    for key, name in (tuple(row) for row in frame.collect()):
+        wanted.append((key, name))
+        if key is not None and key % 2 == 0:
+            wanted += [(-1, name), (key, None), (key, name)]
+    assert rows(broken) == sorted(wanted, key=str) and broken.dtypes == frame.dtypes
