@@ -83,3 +83,11 @@ def test_faulty_copies_read_their_rows_once(spark):
         if key is not None and key % 2 == 0:
             wanted += [(-1, name), (key, None), (key, name)]
     assert rows(broken) == sorted(wanted, key=str) and broken.dtypes == frame.dtypes
+
+
+def test_staged_metrics_aggregate_on_three_keys(spark):
+    """Keys and declared tests of the metrics need no aggregation over descriptive columns."""
+    for query in ("dq_staging_keys", "dq_declared_tests", "dq_reconcile"):
+        plan = plan_of(queries.all_queries()[query](spark, ROOT))
+        daily = [line for line in plan.splitlines() if "HashAggregate" in line and "warehouse_id" in line and "movement_date" in line]
+        assert daily and not any("category_name" in line or "product_name" in line for line in daily)
