@@ -62,26 +62,27 @@ def marker_words(docs: DataFrame, labels: DataFrame, column: str = "toxic", per_
     return sorted(row[0] for row in top.collect())
 
 
-def _features(text: Column, tokens: Column, markers: list[str]) -> dict[str, Column]:
-    """Each feature as the number of bounds that it exceeds."""
+def _features(text: Column, tokens: Column, markers: list[str]) -> dict[str, tuple[Column, list[float]]]:
+    """The value of each feature, and the bounds that are counted where it exceeds them."""
     letters = F.greatest(F.char_length(text), F.lit(1))
     words = F.greatest(tokens, F.lit(1))
     hits = F.lit(0)
     if markers:
         hits = F.regexp_count(F.lower(text), F.lit(r"(?<!\p{L})(?:" + "|".join(markers) + ")"))
-
-    def bin_of(value: Column, bounds: list[float]) -> Column:
-        return sum(((value > b).cast("int") for b in bounds), F.lit(0))
-
     return {
-        "capitals": bin_of(F.regexp_count(text, F.lit("[A-Z]")) / letters, _SHARES),
-        "signs": bin_of(F.regexp_count(text, F.lit(r"[!%$#&*|<>{}\[\]]")) / letters, _SHARES),
-        "echoes": bin_of(F.regexp_count(text, F.lit(r"(?<![^ ])([^ \n]+) \1(?![^ \n])")) / words, _SHARES),
-        "markers": bin_of(hits / words, _SHARES),
-        "length": bin_of(letters / words, _LENGTHS),
+        "capitals": (F.regexp_count(text, F.lit("[A-Z]")) / letters, _SHARES),
+        "signs": (F.regexp_count(text, F.lit(r"[!%$#&*|<>{}\[\]]")) / letters, _SHARES),
+        "echoes": (F.regexp_count(text, F.lit(r"(?<![^ ])([^ \n]+) \1(?![^ \n])")) / words, _SHARES),
+        "markers": (hits / words, _SHARES),
+        "length": (letters / words, _LENGTHS),
     }
 
 
+def _bin(value: Column, bounds: list[float]) -> Column:
+    """How many of the bounds a value exceeds."""
+    return sum(((value > b).cast("int") for b in bounds), F.lit(0))
+
+
 def domain_posteriors(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list[str]]:
     """(doc_id, n_tokens, chances) of every row, written, and the names of the chances.
 
@@ -94,7 +95,9 @@ def domain_posteriors(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, li
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("n_tokens", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint"))
     features = _features(F.col("text"), F.col("n_tokens"), markers)
-    binned = stash(rows.select("doc_id", "n_tokens", *[c.alias(n) for n, c in features.items()]), "mixing-features")
+    valued = rows.select("doc_id", "n_tokens", *[value.alias(name) for name, (value, _) in features.items()])
+    bins_of = [_bin(F.col(name), bounds).alias(name) for name, (_, bounds) in features.items()]
+    binned = stash(valued.select("doc_id", "n_tokens", *bins_of), "mixing-features")
     known = (
         labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), domain_of(labels).alias("domain"))
         .filter("domain IS NOT NULL")
