@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 
 from depotflow.operators import inventory as I
-from depotflow.plans import conform
+from depotflow.plans import checks, conform
 from depotflow.verification import queries
 
 ROOT = "/root/testdata/sf0.001"
@@ -91,3 +91,12 @@ def test_staged_metrics_aggregate_on_three_keys(spark):
         plan = plan_of(queries.all_queries()[query](spark, ROOT))
         daily = [line for line in plan.splitlines() if "HashAggregate" in line and "warehouse_id" in line and "movement_date" in line]
         assert daily and not any("category_name" in line or "product_name" in line for line in daily)
+
+
+def test_filters_on_movements_hold_names_and_not_the_terms_of_their_dates(spark):
+    """Where they held them, the code of the scan for faulty rows was too long for the JVM to compile."""
+    moves = conform.conformed(spark, ROOT)["inventory_movements"]
+    _, faulty = checks.movement_probes(moves, F.lit("2010-01-01").cast("timestamp_ntz"))
+    plan = faulty.offenders._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("make_dt_interval") <= plan.count("AS arrived") * 3 + 2
+    assert not any("make_dt_interval" in line for line in plan.splitlines() if "Filter" in line)
