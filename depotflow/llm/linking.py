@@ -105,7 +105,8 @@ def components(links: DataFrame) -> DataFrame:
     before = _digest(edges)
     while True:
         cold = max(COLD_LINKS, -(-2 * before[0] // MOST_HOT))
-        edges = stash(_small_star(_large_star(edges, cold), cold), "links")
+        edges = stash(_large_star(edges, cold), "links")
+        edges = stash(_small_star(edges, cold), "links")
         after = _digest(edges)
         if after == before:
             break
@@ -122,14 +123,18 @@ def _digest(edges: DataFrame) -> tuple:
 
 
 def _with_least(links: DataFrame, cold: int) -> DataFrame:
-    """(u, v, m): links with the smallest ``v`` of their ``u``.
+    """(u, v, m): links with the smallest ``v`` of their ``u``; ``links`` is read more than once.
 
-    The minima of nodes with over ``cold`` links are broadcast, so that such a node is never one task's
-    work. A round has at most twice as many rows as there were links before it, and ``cold`` is at
-    least that over ``MOST_HOT``: the broadcast has at most that many rows of 16 bytes.
+    The minima are written, so that a plan holds neither their making nor that of the links several times: plans
+    of a whole round once had 50 scans, and planning them took the driver hundreds of MB. The minima of nodes with
+    over ``cold`` links are broadcast, so that such a node is never one task's work. A round has at most twice as
+    many rows as there were links before it, and ``cold`` is at least that over ``MOST_HOT``: the broadcast has at
+    most that many rows of 16 bytes.
     """
-    least = links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    least = stash(links.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")), "least")
     hot = least.filter(F.col("n") > cold).select("u", F.col("m").alias("hot"))
+    if hot.isEmpty():
+        return links.select("u", "v").join(least.select("u", "m"), "u")
     marked = links.select("u", "v").join(F.broadcast(hot), "u", "left")
     few = least.filter(F.col("n") <= cold).select("u", "m")
     return (
@@ -139,7 +144,8 @@ def _with_least(links: DataFrame, cold: int) -> DataFrame:
 
 
 def _large_star(edges: DataFrame, cold: int) -> DataFrame:
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    turned = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
+    both = edges.select(F.inline(F.array(F.struct("u", "v"), turned)))
     larger = _with_least(both, cold).filter("v > u")
     return larger.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct()
 

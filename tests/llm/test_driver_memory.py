@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import weakref
 
-from depotflow.llm import common, mixing
+from depotflow.llm import common, linking, mixing
 
 ROOT = "/root/testdata/sf0.001"
 
@@ -36,3 +36,21 @@ def test_broadcasts_behind_a_stashed_table_are_released(spark):
     del frame
     gc.collect()
     assert gone() is None and runs() > before and stashed.count() == 10
+
+
+def test_plans_of_the_contraction_stay_small(spark, monkeypatch):
+    """A round's plan reads its links a few times, not once for each use of each use; hot nodes or none."""
+    scans = []
+    stash = linking.stash
+
+    def kept(frame, label):
+        scans.append(frame._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return stash(frame, label)
+
+    monkeypatch.setattr(linking, "stash", kept)
+    chain = [(i, i + 1) for i in range(20)]
+    star = [(1000, 1000 + i) for i in range(1, linking.COLD_LINKS + 50)]
+    for links in (chain, chain + star):
+        got = dict(linking.components(spark.createDataFrame(links, "a bigint, b bigint")).collect())
+        assert got == {node: 1000 if node >= 1000 else 0 for link in links for node in link}
+    assert max(scans) <= 6
