@@ -133,4 +133,4 @@ def test_audited_movements_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(checks, "stashed", lambda frame, label: made.append(label) or stashed(frame, label))
     tables = queries._with_faults(queries._units_only(conform.conformed(spark, ROOT)))
     found = checks.movement_audit(tables, F.lit("2010-01-01").cast("timestamp_ntz"))
-    assert len(made) == 1 and found.count() == 12
+    assert len(made) == 1 and found.count() == 13
